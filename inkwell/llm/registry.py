@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inkwell.llm import decontam, simhash
+from inkwell.llm import decontam, mixing, simhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_simhash_neardup": simhash.op3, "op8_decontam_prefix_join": decontam.op8}
+    return {"op4_mix_systematic": mixing.op4, "op3_simhash_neardup": simhash.op3, "op8_decontam_prefix_join": decontam.op8}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_decontam_prefix_join": decontam.OP8_SQL}
+    return {"op4_mix_systematic": mixing.OP4_SQL, "op8_decontam_prefix_join": decontam.OP8_SQL}
