@@ -6,11 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inkwell.llm import decontam, mixing, simhash
+from inkwell.llm import decontam, langid, mixing, quality, simhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op4_mix_systematic": mixing.op4, "op3_simhash_neardup": simhash.op3, "op8_decontam_prefix_join": decontam.op8}
+    return {
+        "op2_quality_cnn": quality.op2,
+        "op3_simhash_neardup": simhash.op3,
+        "op4_mix_systematic": mixing.op4,
+        "op8_decontam_prefix_join": decontam.op8,
+        "op9_langid_cnn": langid.op9,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
