@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inkwell.llm import decontam, langid, mixing, quality, simhash
+from inkwell.llm import decontam, langid, mixing, pii, quality, simhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_quality_cnn": quality.op2,
         "op3_simhash_neardup": simhash.op3,
         "op4_mix_systematic": mixing.op4,
+        "op5_pii_boosted": pii.op5,
         "op8_decontam_prefix_join": decontam.op8,
         "op9_langid_cnn": langid.op9,
     }
