@@ -242,9 +242,10 @@ def redact(docs: DataFrame, text_col: str = "text", model: Model | None = None)
 def op5(spark, sf_dir: str) -> DataFrame:
     found = find(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["base"])
+    count = lambda k: F.size(F.filter(base, lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
     told = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
     return found.select(
-        F.col("id").alias("doc_id"), *(F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS),
+        F.col("id").alias("doc_id"), *(count(k) for k in KINDS),
         F.sha2(told(base), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"),
     )
 
