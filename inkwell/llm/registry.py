@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inkwell.llm import decontam, langid, mixing, pii, quality, simhash, urlrules
+from inkwell.llm import ann, decontam, langid, mixing, pii, quality, simhash, urlrules
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_mix_systematic": mixing.op4,
         "op5_pii_boosted": pii.op5,
         "op6_url_rules": urlrules.op6,
+        "op7_ann_anisotropic": ann.op7,
         "op8_decontam_prefix_join": decontam.op8,
         "op9_langid_cnn": langid.op9,
     }
