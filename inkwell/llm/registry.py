@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inkwell.llm import ann, decontam, langid, mixing, pii, quality, simhash, urlrules
+from inkwell.llm import ann, decontam, htmlwrap, langid, mixing, pii, quality, simhash, urlrules
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -19,6 +19,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_ann_anisotropic": ann.op7,
         "op8_decontam_prefix_join": decontam.op8,
         "op9_langid_cnn": langid.op9,
+        "op10_html_wrappers": htmlwrap.op10,
     }
 
 
