@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inkwell.llm import ann, decontam, htmlwrap, langid, mixing, pii, quality, simhash, urlrules
+from inkwell.llm import ann, decontam, htmlwrap, langid, licenses, mixing, pii, quality, simhash, urlrules
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_license_scan": licenses.op1,
         "op2_quality_cnn": quality.op2,
         "op3_simhash_neardup": simhash.op3,
         "op4_mix_systematic": mixing.op4,
@@ -24,4 +25,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_mix_systematic": mixing.OP4_SQL, "op8_decontam_prefix_join": decontam.OP8_SQL}
+    return {"op1_license_scan": licenses.op1_sql(), "op4_mix_systematic": mixing.OP4_SQL, "op8_decontam_prefix_join": decontam.OP8_SQL}
