@@ -60,7 +60,7 @@ def is_url(value: Column) -> Column:
 
 def language_names(value: Column) -> Column:
     """A comma-separated list of languages with Spanish names."""
-    parts = F.filter(F.transform(F.split(clean(value), ","), F.trim), lambda x: x != "")
+    parts = F.filter(F.transform(F.split(clean(value), ","), lambda x: F.trim(x)), lambda x: x != "")
     return F.array_join(F.transform(parts, lambda x: F.coalesce(lookup(F.lower(x), LANGUAGE_NAMES), x)), ", ")
 
 

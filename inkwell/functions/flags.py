@@ -29,7 +29,7 @@ def category_list(value: Column) -> Column:
         name = F.when(q != "", F.regexp_extract(entry, r"^(.+?)\s*\(([Qq][1-4])\)", 1)).otherwise(entry)
         return F.struct(name.alias("category"), F.when(q != "", F.upper(q)).alias("quartile"))
 
-    return F.transform(F.filter(F.transform(F.split(value, ";"), F.trim), lambda x: x != ""), one)
+    return F.transform(F.filter(F.transform(F.split(value, ";"), lambda x: F.trim(x)), lambda x: x != ""), one)
 
 
 def best_quartile(categories: Column, reported: Column | None = None) -> Column:

@@ -46,7 +46,7 @@ def summary(ranked: DataFrame, relevant: DataFrame, cutoffs: list[int]) -> DataF
 def alpha_grid(scores: DataFrame, relevant: DataFrame, by: str = "ndcg", k: int = 10, steps: int = 11) -> DataFrame:
     """(alpha, value) of scores (query_id, item_id, tfidf, dense) fused at each alpha from 0 to 1; by ndcg at k, or mrr."""
     grid = scores.sparkSession.range(steps).select((F.col("id") / (steps - 1.0)).alias("alpha"))
-    fused = scores.crossJoin(F.broadcast(grid)).withColumn("score", F.col("alpha") * F.col("tfidf") + (1 - F.col("alpha")) * F.col("dense"))
+    fused = scores.crossJoin(F.broadcast(grid)).withColumn("score", F.round(F.col("alpha") * F.col("tfidf") + (1 - F.col("alpha")) * F.col("dense"), 12))
     pair = F.struct("alpha", "query_id").alias("query_id")
     order = Window.partitionBy("alpha", "query_id").orderBy(F.col("score").desc(), "item_id")
     ranked = fused.withColumn("rank", F.row_number().over(order)).select(pair, "item_id", "rank")

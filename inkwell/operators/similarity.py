@@ -6,6 +6,7 @@ from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def _common(a: str, b: str) -> int:
@@ -68,6 +69,6 @@ def wratio(a: str, b: str) -> float:
     return max(best, scale * partial_ratio(a, b), 0.95 * scale * _token_ratio(a, b, partial_ratio))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def wratio_column(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([wratio(x, y) if x is not None and y is not None else 0.0 for x, y in zip(a, b)], dtype="float64")
