@@ -13,7 +13,7 @@ def remainder(id_col: str, n: int) -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, per_label: int, excerpt_chars: int, id_col: str = "doc_id", text_col: str = "text") -> list[tuple[str, object]]:
-    """(excerpt, label) for the per_label rows of each label with the smallest id hashes, in that order.
+    """(excerpt, label) for at most per_label rows of each label, those with the smallest id hashes in each sixteenth of it, by hash.
 
     labels: (id, label), nulls left out. The texts are excerpts of at most
     excerpt_chars from a place that the id's hash chooses, so what reaches the
@@ -21,8 +21,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, per_label: int, excerpt_
     labels are ranked; texts are read for the chosen ids alone.
     """
     known = labels.select(F.col("id"), F.col("label"), F.xxhash64(F.col("id").cast("string")).alias("h")).dropna()
-    first = Window.partitionBy("label").orderBy("h", "id")
-    chosen = cut(known.withColumn("k", F.row_number().over(first)).where(F.col("k") <= per_label).select("id", "label", "h"))
+    # Sixteen parts of a label are ranked apart: no task has a whole label, and each keeps its first rows before the shuffle.
+    known = known.withColumn("part", F.pmod("h", F.lit(16)))
+    first = Window.partitionBy("label", "part").orderBy("h", "id")
+    chosen = cut(known.withColumn("k", F.row_number().over(first)).where(F.col("k") <= per_label // 16).select("id", "label", "h"))
     text = F.col(text_col)
     place = F.col("h").cast("double") / F.lit(float(1 << 63)) / 2 + 0.5
     start = F.floor(place * F.greatest(F.length(text) - excerpt_chars, F.lit(0))).cast("int") + 1
