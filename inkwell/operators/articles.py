@@ -73,7 +73,7 @@ def extract(texts: DataFrame, id_col: str = "id", text_col: str = "text", issn_c
         "id", F.col("__issn").alias("issn"), F.concat_ws("_", "__name", F.col("article").cast("string")).alias("article"), "language", _title(F.col("before"), F.col("repeated")).alias("title"),
         clean_abstract(F.col("abstract")).alias("abstract"), clean_keywords(F.col("keywords"), KEYWORDS_LONGEST).alias("keywords"), F.lit("marcadores").alias("how"),
     ).where(F.length("abstract") >= ABSTRACT_LEAST)
-    bare = key.join(found.select("id").distinct(), key[id_col] == F.col("id"), "left_anti")
+    bare = key.join(found.select(F.col("id").alias("__found")).distinct(), F.col(id_col) == F.col("__found"), "left_anti")
     body = squeeze(F.substring(text_col, 1, KEYWORDS_WITHIN))
     fallback = bare.where(F.length(body) >= BODY_LEAST).select(
         F.col(id_col).alias("id"), F.col("__issn").alias("issn"), F.concat("__name", F.lit("_0")).alias("article"), F.lit("desconocido").alias("language"), F.trim(F.translate("__name", "+_", "  ")).alias("title"),
