@@ -219,25 +219,28 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model:
     vocabulary = sorted({w for g in model.weights for w in g.split() if content(w)})
     lines = own.where("text IS NOT NULL").select("id", "mark", F.posexplode(F.split("text", "\n")).alias("paragraph", "line"))
     words = F.filter(F.split(ascii_lower(F.col("line")), "[^a-z0-9]+"), lambda w: w != "")
-    lines = lines.select("id", "mark", "paragraph", words.alias("w")).where(F.arrays_overlap("w", F.array(*map(F.lit, vocabulary))))
+    # The generator of one element keeps the optimiser from writing the split into every use of w.
+    lines = lines.select("id", "mark", "paragraph", F.explode(F.array(words)).alias("w")).where(F.arrays_overlap("w", F.array(*map(F.lit, vocabulary))))
     run = lambda n: F.array_distinct(F.when(F.size("w") >= n, F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - n + 1, F.lit(1))), lambda i: F.array_join(F.slice("w", i, n), " "))).otherwise(F.expr("cast(array() as array<string>)")))
-    shingles = F.when(F.size("w") >= 3, run(3)).otherwise(F.array(F.array_join("w", " ")))
-    lines = lines.select("id", "mark", "paragraph", F.concat(F.array(F.lit("")), *(run(n) for n in range(1, WIDEST + 1))).alias("grams"), shingles.alias("triples"))
-    # The empty gram counts a paragraph's repetitions in repeated rows. Weights are bounded by the templates above.
-    listed = [(g, *ws) for g, ws in sorted(model.weights.items())] + [("", *[0.0] * k)]
-    weights = F.broadcast(spark.createDataFrame(listed, "gram string, " + ", ".join(f"w{i} double" for i in range(k))))
-    met = lines.select("id", "mark", "paragraph", F.explode("grams").alias("gram")).join(weights, "gram")
-    sums = met.groupBy("id", "mark", "paragraph").agg(F.count_if(F.col("gram") == "").alias("times"), *(F.sum(f"w{i}").alias(f"w{i}") for i in range(k)))
+    met = lines.select("id", "mark", "paragraph", F.explode(F.array(run(3))).alias("triples"), "w").select("id", "mark", "paragraph", F.size("triples").alias("n3"), F.explode(F.concat(F.array(F.lit("")), run(1), run(2), "triples")).alias("gram"))
+    # For each gram its weights, and the templates that it is a triple of. The empty gram counts a paragraph's repetitions in repeated rows. All bounded by the templates above.
+    known = [(f, triples(t)) for f, ts in TEMPLATES.items() for t in ts]
+    grams_ = sorted({*model.weights, *(g for _, t in known for g in t), ""})
+    listed = [(g, *model.weights.get(g, [0.0] * k), *(int(g in t) for _, t in known)) for g in grams_]
+    table_ = spark.createDataFrame(listed, "gram string, " + ", ".join([f"w{i} double" for i in range(k)] + [f"t{j} int" for j in range(len(known))]))
+    sums = met.join(F.broadcast(table_), "gram").groupBy("id", "mark", "paragraph").agg(F.count_if(F.col("gram") == "").alias("times"), F.max("n3").alias("n3"), *(F.sum(f"w{i}").alias(f"w{i}") for i in range(k)), *(F.sum(f"t{j}").alias(f"t{j}") for j in range(len(known))))
     logit = F.array(*((F.col(f"w{i}") / F.col("times") + model.bias[i]) / model.temperature for i in range(k)))
-    scored = sums.select("id", "mark", "paragraph", logit.alias("z")).withColumn("top", F.array_max("z"))
-    scored = scored.withColumn("probability", 1 / F.aggregate("z", F.lit(0.0), lambda a, v: a + F.exp(v - F.col("top")))).withColumn("family", F.element_at(F.array(*map(F.lit, model.families)), F.array_position("z", F.col("top")).cast("int")))
-    named = scored.where((F.col("family") != UNKNOWN) & (F.col("probability") >= model.threshold)).select("id", "mark", "paragraph", "family", "probability")
-    templates = F.broadcast(spark.createDataFrame([(f, sorted(triples(t))) for f, ts in TEMPLATES.items() for t in ts], "family string, template array<string>"))
-    beside = lines.select(F.col("id").alias("i"), F.col("mark").alias("m"), F.col("paragraph").alias("p"), "triples").distinct()
-    both = named.join(beside, F.col("id").eqNullSafe(F.col("i")) & (F.col("mark") == F.col("m")) & (F.col("paragraph") == F.col("p"))).join(templates, "family")
-    common = F.size(F.array_intersect("template", "triples"))
-    shared = F.greatest(common / F.size("template"), F.when(F.size("triples") >= 2, common / F.size("triples")).otherwise(0.0))
-    judged = both.groupBy("id", "mark", "paragraph", "family", "probability").agg((F.max(shared) >= CONFIRM).alias("confirmed"))
+
+    def share(family: str):
+        """The largest share of triples in common with a template of the family."""
+        own = [(F.col(f"t{j}") / F.col("times"), len(t)) for j, (f, t) in enumerate(known) if f == family]
+        return F.greatest(F.lit(0.0), *(F.greatest(c / n, F.when(F.col("n3") >= 2, c / F.col("n3")).otherwise(0.0)) for c, n in own))
+
+    shares = F.array(*(share(f) for f in model.families[:-1]), F.lit(0.0))
+    scored = sums.select("id", "mark", "paragraph", logit.alias("z"), shares.alias("shares")).withColumn("top", F.array_max("z"))
+    at = F.array_position("z", F.col("top")).cast("int")
+    scored = scored.withColumn("probability", 1 / F.aggregate("z", F.lit(0.0), lambda a, v: a + F.exp(v - F.col("top")))).withColumn("family", F.element_at(F.array(*map(F.lit, model.families)), at)).withColumn("confirmed", F.element_at("shares", at) >= CONFIRM)
+    judged = scored.where((F.col("family") != UNKNOWN) & (F.col("probability") >= model.threshold))
     each = F.when(F.col("confirmed"), F.struct("paragraph", "family", "probability"))
     per = judged.groupBy("id", "mark").agg(F.array_sort(F.collect_list(each)).alias("found"), F.count_if(~F.col("confirmed")).alias("unconfirmed"))
     per = per.select(F.col("id").alias("i"), F.col("mark").alias("m"), "found", "unconfirmed")
