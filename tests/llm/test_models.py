@@ -103,12 +103,12 @@ def test_personal_data_boosted():
     hit = wrong = good = 0
     for _ in range(800):
         before, span, after, label = pii._written(rng)
-        spans = sum(pii.all_spans(before + span + after, model), [])
-        exact = any(a == len(before) and b == len(before) + len(span) for _, a, b in spans)
+        base, added = pii.all_spans(before + span + after, model)
+        exact = any(a == len(before) and b == len(before) + len(span) for _, a, b in base + added)
         good += label
         hit += label and exact
-        wrong += not label and bool(spans)
-    assert hit / good >= 0.8 and wrong <= 16
+        wrong += not label and bool(added)  # base spans are the contract's, right or wrong
+    assert hit / good >= 0.95 and wrong <= 8
     assert pii.all_spans("Version 2.0.1, page 12-14, 2024-05-06 and 10:22:33.", model) == ([], [])
 
 
@@ -123,7 +123,7 @@ def test_fixed_url_rules(spark):
 
 
 def test_mined_url_rules(spark):
-    rows = [(["h:bad.org", "p:en", f"q:{i % 3}"], True) for i in range(60)] + [(["h:good.org", "p:en"], i % 10 == 0) for i in range(200)] + [([], True), (None, False)]
+    rows = [(["h:bad.org", "p:en", f"q:{i % 3}"], True) for i in range(60)] + [(["h:good.org", "p:en", f"q:{i % 3}"], i % 10 == 0) for i in range(200)] + [([], True), (None, False)]
     rules = urlrules.mine(spark.createDataFrame(rows, "tokens array<string>, bad boolean"), 0.01)
     assert [r["rule"] for r in rules.collect()] == [["h:bad.org"]]
     pages = spark.createDataFrame([(1, "http://x.bad.org/1"), (2, "http://good.org/1")], "page_id long, url string")
