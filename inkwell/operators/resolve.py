@@ -7,7 +7,7 @@ and one last left join brings the source's columns.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkwell.constants import FUZZY_THRESHOLD
@@ -19,14 +19,25 @@ def _titles(df: DataFrame, row: str, title: str, name: str) -> DataFrame:
     return df.select(F.col(row).alias(name), F.col(title).alias("title")).where(F.col("title").isNotNull())
 
 
-def candidates(left: DataFrame, right: DataFrame) -> DataFrame:
+def candidates(left: DataFrame, right: DataFrame, threshold: float | None = None) -> DataFrame:
     """Pairs of (base_row, title) and (source_row, other) that share a word, each once.
 
-    Similar titles without a common word (all words misspelt) are not proposed.
+    With a Jaccard threshold only the words that such a pair must share are joined: the rarest
+    |words| - ceil(threshold * |words|) + 1 of each title. No pair that reaches it is lost, and
+    common words join nothing. Similar titles without a common word (all misspelt) are not proposed.
     """
-    words = lambda df, row: df.select(row, "title", F.explode(F.array_distinct(F.split("title", " "))).alias("word"))
-    l, r = words(left, "base_row"), words(right, "source_row").withColumnRenamed("title", "other")
-    return l.join(r, "word").groupBy("base_row", "source_row").agg(F.min("title").alias("title"), F.min("other").alias("other"))
+    words = lambda df, row: df.select(row, "title", F.array_distinct(F.split("title", " ")).alias("all")).select(row, "title", F.size("all").alias("n"), F.explode("all").alias("word"))
+    l, r = words(left, "base_row"), words(right, "source_row")
+    if threshold is not None:
+        seen = l.select("word").unionByName(r.select("word")).groupBy("word").agg(F.count("*").alias("seen"))
+
+        def rarest(df: DataFrame, row: str) -> DataFrame:
+            place = F.row_number().over(Window.partitionBy(row).orderBy("seen", "word"))
+            return df.join(seen, "word").withColumn("place", place).where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * threshold / 100 - 1e-9) + 1)
+
+        l, r = rarest(l, "base_row"), rarest(r, "source_row")
+    r = r.select("source_row", "word", F.col("title").alias("other"))
+    return l.select("base_row", "word", "title").join(r, "word").groupBy("base_row", "source_row").agg(F.min("title").alias("title"), F.min("other").alias("other"))
 
 
 def match(base: DataFrame, source: DataFrame, key: str, title: str, row: str, scorer: str = "wratio", threshold: float = FUZZY_THRESHOLD) -> DataFrame:
@@ -48,7 +59,7 @@ def match(base: DataFrame, source: DataFrame, key: str, title: str, row: str, sc
     exact_right = first_by(right, ["title"], F.col("source_row"))
     by_title = left.join(exact_right, "title").select("base_row", "source_row", F.lit("title").alias("match"), F.lit(100.0).alias("score"))
     rest = left.join(by_title, "base_row", "left_anti")
-    pairs = candidates(rest, right)
+    pairs = candidates(rest, right, threshold if scorer == "jaccard" else None)
     if scorer == "wratio":
         score = wratio_column("title", "other")
     else:
