@@ -75,7 +75,8 @@ def _topsis_sql(order) -> str:
 def _journal_terms(spark, sf):
     """Terms of each source: counted per document, so no journal's whole text is ever one value."""
     d = t(spark, sf, "documents").select("source", text.preprocess(F.col("text")).alias("p"))
-    return retrieval.terms(d, "source", "p"), d.select(F.col("source")).distinct()
+    # Several steps read the counts; kept, they are counted once. They spill to disk where memory is short.
+    return retrieval.terms(d, "source", "p").persist(), d.select(F.col("source")).distinct()
 
 
 def _scores(spark, sf):
