@@ -34,7 +34,7 @@ def sniff(text: str, allowed: str = ",;\t|") -> str:
         raise ValueError("the file is empty")
     if re.match(r"\s*<(!doctype|html|\?xml)", text, re.I):
         raise ValueError("the file is markup, not a table")
-    line = next(csv.reader(io.StringIO(text.replace("\r\n", "\n")), delimiter="\n"), [""])[0]
+    line = re.sub('"[^"]*"', "", text.lstrip()).splitlines()[0]  # what is quoted delimits nothing
     return max(allowed, key=lambda c: (line.count(c), -allowed.index(c)))
 
 
