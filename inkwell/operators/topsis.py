@@ -24,24 +24,26 @@ def topsis(df: DataFrame, criteria: dict[str, list[str]], costs: list[str] = (),
     criteria: dimension to its columns. A null counts as its column's median; a column without values as 0, one
     without spread as 0; costs are inverted. Each criterion has its dimension's weight in full. Rows that are both
     ideal and worst get 0.5. If `eligible` is a column, rows where it is null get a null index but shape the ideals.
-    Two one-row aggregates are broadcast; all orders share one geometry.
+    One one-row aggregate is broadcast: a median lies between the least and the largest value, so it moves neither,
+    and a scaled criterion with spread reaches both 0 and 1. All orders share one geometry.
     """
     orders = list(orders or permutations(dimensions))
-    every = [c for d in dimensions for c in criteria.get(d, [])]
-    medians = df.agg(*(F.percentile(c, 0.5).alias(f"__m_{c}") for c in every))
-    full = df.crossJoin(F.broadcast(medians)).withColumns({f"__x_{c}": F.coalesce(F.col(c).cast("double"), F.col(f"__m_{c}"), F.lit(0.0)) for c in every}).drop(*medians.columns)
-    ends = full.agg(*(f(f"__x_{c}").alias(f"__{n}_{c}") for c in every for n, f in (("a", F.min), ("b", F.max))))
+    every = list(dict.fromkeys(c for d in dimensions for c in criteria.get(d, [])))
+    number = lambda c: F.col(c).cast("double")
+    found = df.agg(*(f(number(c)).alias(f"__{n}_{c}") for c in every for n, f in (("m", lambda x: F.percentile(x, 0.5)), ("a", F.min), ("b", F.max))))
 
     def unit(c: str):
         a, b = F.col(f"__a_{c}"), F.col(f"__b_{c}")
-        x = F.when(b > a, (F.col(f"__x_{c}") - a) / (b - a)).otherwise(0.0)
-        return 1 - x if c in costs else x
-
-    scaled = full.crossJoin(F.broadcast(ends)).withColumns({f"__u_{c}": unit(c) for c in every}).drop(*ends.columns, *(f"__x_{c}" for c in every))
-    ideals = scaled.agg(*(f(f"__u_{c}").alias(f"__{n}_{c}") for c in every for n, f in (("lo", F.min), ("hi", F.max))))
-    placed = scaled.crossJoin(F.broadcast(ideals))
-    squares = {(d, n): sum((F.pow(F.col(f"__u_{c}") - F.col(f"__{n}_{c}"), 2) for c in criteria.get(d, [])), F.lit(0.0)) for d in dimensions for n in ("lo", "hi")}
-    out = placed.withColumns({f"__{n}_{d}": x for (d, n), x in squares.items()})
+        x = (F.coalesce(number(c), F.col(f"__m_{c}")) - a) / (b - a)
+        return F.when(b > a, 1 - x if c in costs else x)
+
+    def square(c: str, end: str):
+        """The squared distance from the worst or the ideal value, 0 and 1; 0 for a criterion without spread."""
+        u = F.col(f"__u_{c}")
+        return F.coalesce(F.pow(u if end == "lo" else u - 1, 2), F.lit(0.0))
+
+    placed = df.crossJoin(F.broadcast(found)).withColumns({f"__u_{c}": unit(c) for c in every})
+    out = placed.withColumns({f"__{n}_{d}": sum((square(c, n) for c in criteria.get(d, [])), F.lit(0.0)) for d in dimensions for n in ("lo", "hi")})
     for k, order in enumerate(orders, 1):
         w = rank_weights(order, dimensions)
         far = {n: F.sqrt(sum((F.col(f"__{n}_{d}") * w[d] ** 2 for d in dimensions), F.lit(0.0))) for n in ("lo", "hi")}

@@ -1,4 +1,4 @@
-"""The journal pipeline: bronze files to silver tables to the gold catalogue, one lazy plan until it is written."""
+"""The journal pipeline: bronze files to silver tables to the gold catalogue. Silver tables, matches and the joined catalogue are written; what is between is one lazy plan."""
 
 from __future__ import annotations
 
@@ -14,6 +14,7 @@ from inkwell.functions.text import normalize_title
 from inkwell.operators import features, resolve
 from inkwell.operators.dedupe import keep_first, keep_first_keyed, keep_latest
 from inkwell.operators.topsis import topsis
+from inkwell.staging import stored
 
 #: Fee columns in which an observed payment outranks what was declared.
 OBSERVED = ("apc_monto_usd", "apc_tipo", "apc_monto_original", "apc_moneda_original", "apc_tasa_usd", "apc_monto_ppp_usd", "apc_fuente")
@@ -88,11 +89,15 @@ class Gold:
 
 
 def gold(national: DataFrame, sources: dict[str, DataFrame], scorer: str = "wratio", overriding: dict[str, list[str]] | None = None, captured: str = "") -> Gold:
-    """The catalogue: national joined with scimago, doaj, facts and openapc in this order, which decides who owns a name."""
+    """The catalogue: national joined with scimago, doaj, facts and openapc in this order, which decides who owns a name.
+
+    Matching and the features read their input many times over, so each input is a written table.
+    """
+    national = stored(national)
     base, log = national, None
     for name in [n for n in ("scimago", "doaj", "facts", "openapc") if n in sources]:
-        source = sources[name].withColumn(f"__in_{name}", F.lit(True))
-        found = resolve.match(national, source, "issn_normalizado", "titulo_normalizado", "row_idx", scorer)
+        source = stored(sources[name].withColumn(f"__in_{name}", F.lit(True)))
+        found = stored(resolve.match(national, source, "issn_normalizado", "titulo_normalizado", "row_idx", scorer))
         entries = resolve.merge_log(national, found, "issn_normalizado", "row_idx", name)
         log = entries if log is None else log.unionByName(entries)
         base = resolve.enrich(base, source, found, "issn_normalizado", "titulo_normalizado", "row_idx", name)
@@ -100,7 +105,7 @@ def gold(national: DataFrame, sources: dict[str, DataFrame], scorer: str = "wrat
     base = base.withColumn("_fuentes", resolve.source_set(markers)).drop(*markers.values())
     overriding = {"openapc": list(OBSERVED)} if overriding is None else overriding
     base = resolve.coalesce_suffixes(base, ["scimago", "doaj", "facts", "openapc"], overriding)
-    return Gold(engineered(keep_first(base, ["issn_normalizado"], "row_idx"), captured), log)
+    return Gold(engineered(stored(keep_first(base, ["issn_normalizado"], "row_idx")), captured), log)
 
 
 def engineered(df: DataFrame, captured: str = "") -> DataFrame:
