@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from pathlib import Path
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from inkwell.staging import shared_folder, stored
+
+__all__ = ["LOWER", "UPPER", "WORD", "ascii_lower", "cut", "shared_folder", "small", "stored", "table"]
+
 #: Space and the ASCII controls from tab to carriage return, the separators of plain words.
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -18,33 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: what spark.checkpoint.dir names, or one already set on the context.
-
-    A temporary one is set only where neither names one and the master is local, as in tests.
-    """
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        if named is None and not sc.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        sc.setCheckpointDir(named or Path(tempfile.mkdtemp(prefix="inkwell-checkpoint-")).as_uri())
-    return sc._jsc.sc().getCheckpointDir().get()
-
-
 def cut(df: DataFrame) -> DataFrame:
     """Materialise df in the shared folder and cut its lineage."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """df written as Parquet in the shared folder, and read again: for wide rows, of which later scans take a few columns."""
-    path = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def ascii_lower(col):
     """Lower-case A-Z alone; other letters, É among them, stay as they are."""
     plain = F.length(col) == F.octet_length(col)

@@ -79,7 +79,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", width: int = 10) -> DataFrame:
     """The rows of docs that hold no window of any item, all columns kept."""
     found = contamination(docs, items, id_col, text_col, item_col, item_text_col, width).where("n_hit > 0").select(F.col("id").alias("__hit")).distinct()
-    return docs.join(found, docs[id_col].eqNullSafe(F.col("__hit")), "left_anti")
+    return docs.join(found, docs[id_col].eqNullSafe(found["__hit"]), "left_anti")
 
 
 def op8(spark, sf_dir: str) -> DataFrame:

@@ -55,6 +55,9 @@ def identify(docs: DataFrame, net: bytecnn.Network | None, text_col: str = "text
     kept = [f for f in docs.schema.fields if f.name not in ("lang_pred", "score")]
     letters = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
     at = len(kept)
+    mine = "__mine"
+    while any(c.startswith(mine) for c in docs.columns):
+        mine += "_"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -68,7 +71,7 @@ def identify(docs: DataFrame, net: bytecnn.Network | None, text_col: str = "text
     from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
     schema = StructType([*kept, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
-    return docs.select(*(docs[f.name] for f in kept), F.col(text_col).alias("__text"), letters.alias("__letters")).mapInArrow(run, schema)
+    return docs.select(*(docs[f.name] for f in kept), F.col(text_col).alias(f"{mine}text"), letters.alias(f"{mine}letters")).mapInArrow(run, schema)
 
 
 def op9(spark, sf_dir: str) -> DataFrame:

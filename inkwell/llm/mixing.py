@@ -50,13 +50,17 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: flo
 
 
 def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0, seed: str = "mix") -> DataFrame:
-    """docs, all columns kept, with size, source_size, target and copies (0, 1, ... at most ceil(most)).
+    """docs, all columns kept, with size, source_size, target and copies (0, 1, ... at most ceil(most)); columns of these names are replaced.
 
     Size is the number of words, 0 for null and empty texts. A null source is a
     source of its own, the last. Rows without words are copied at their source's
     rate and add nothing; a source without any words yields no copies. Repeated
     rows are sampled one by one. Runs on the same rows agree.
     """
+    own = {c: c.replace("__mix_", "__own_", 1) for c in docs.columns if c.startswith("__mix_")}
+    if own:
+        found = copies(docs.withColumnsRenamed(own), *(own.get(c, c) for c in (id_col, text_col, source_col)), weights, share, most, seed)
+        return found.withColumnsRenamed({new: old for old, new in own.items()})
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
     key = F.col(id_col).cast("string")
     light = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), size.alias("size"))
@@ -76,14 +80,21 @@ def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sour
     joined = ranked.join(plan, ranked[source_col].eqNullSafe(F.col("__mix_source")) & (F.col("__mix_bin") == F.col("__mix_bin_of")))
     upto = lambda k: F.floor((F.col("__mix_before") + k) * F.col("__mix_rate") + F.col("__mix_offset"))
     n = upto(F.col("__mix_rank")) - upto(F.col("__mix_rank") - 1)
-    return joined.select(*(docs[c] for c in docs.columns), F.col("__mix_size").alias("size"), F.col("__mix_source_size").alias("source_size"), F.col("__mix_target").alias("target"), n.cast("long").alias("copies"))
+    kept = [docs[c] for c in docs.columns if c not in ("size", "source_size", "target", "copies")]
+    return joined.select(*kept, F.col("__mix_size").alias("size"), F.col("__mix_source_size").alias("source_size"), F.col("__mix_target").alias("target"), n.cast("long").alias("copies"))
 
 
-def mix(docs: DataFrame, **options) -> DataFrame:
-    """The mixed rows themselves: each row of docs as often as it is copied, with docs's columns."""
+def mix(docs: DataFrame, number: str | None = None, **options) -> DataFrame:
+    """The mixed rows themselves: each row of docs as often as it is copied, with docs's columns.
+
+    number: a column for the number of the copy, from 1; one of that name is replaced.
+    """
     wide = docs.select(F.struct(*docs.columns).alias("row"), *(F.col(options.get(f"{c}_col", d)).alias(d) for c, d in (("id", "doc_id"), ("text", "text"), ("source", "source"))))
     options = {k: v for k, v in options.items() if not k.endswith("_col")}
-    return copies(wide, **options).where("copies > 0").select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("row.*")
+    drawn = copies(wide, **options).where("copies > 0").select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("nth"))
+    if number is None:
+        return drawn.select("row.*")
+    return drawn.select(*(F.col("row")[c].alias(c) for c in docs.columns if c != number), F.col("nth").alias(number))
 
 
 def op4(spark, sf_dir: str) -> DataFrame:

@@ -8,11 +8,13 @@ from pathlib import Path
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 from duck import same
 
-from inkwell.llm import decontam, licenses, mixing, registry, simhash
+import corpus_pipeline
+from inkwell.llm import decontam, htmlwrap, langid, licenses, mixing, pii, quality, registry, simhash, urlrules
 
 ASCII = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 SCHEMA = "doc_id long, text string, source string, component string, n_chars long"
@@ -144,6 +146,48 @@ def test_hot_source_meets_its_target(spark):
     assert all(abs(r["sum(taken)"] / r["max(target)"] - 1) < 0.02 for r in got)
 
 
+#: Names that the operators use for columns of their own.
+TAKEN = "id fp component size source_size target copies copy taken lang_pred score held_out predicted spans row own mark w at token item window hit_items n_hit host path rule verdict html label h k n found paragraph family __mine __mix_bin __kept __hit __text".split()
+
+
+def test_clashing_names(spark):
+    docs = spark.createDataFrame([(1, "Ein Satz mit Wort und a@b.de", "s"), (2, None, None), (3, "", "s"), (None, "Ein Satz mit Wort und a@b.de", "s")], "doc_id long, text string, source string")
+    wide = docs.withColumns({c: F.lit("x") for c in TAKEN})
+    pages = spark.createDataFrame([(1, "http://a.com/x", "<p>eins</p>"), (2, None, None)], "page_id long, url string, html string").withColumns({c: F.lit("x") for c in TAKEN if c != "html"})
+    items = spark.createDataFrame([(1, "nicht da")], "item_id long, text string").withColumns({c: F.lit("x") for c in TAKEN})
+    net = langid.fit(docs.withColumn("lang", F.lit("de")))
+    rules = spark.createDataFrame([(["h:com"], 1, 0.9)], "rule array<string>, n int, confidence double")
+    results = [
+        langid.identify(wide, net), simhash.near_duplicates(wide), mixing.copies(wide), mixing.mix(wide), mixing.mix(wide, number="copy"), decontam.contamination(wide, items), decontam.clean(wide, items),
+        pii.find(wide), pii.redact(wide), licenses.scan(wide), quality.score(wide, quality.fit(wide, docs.select(F.col("doc_id").alias("id"), F.lit(1).alias("label")))),
+    ]
+    assert all(d.count() == 4 for d in results[:3] + results[5:]) and all(len(set(d.columns)) == len(d.columns) for d in results)
+    assert mixing.mix(wide).columns == wide.columns and sorted(mixing.mix(wide, number="copy").columns) == sorted(wide.columns)
+    assert htmlwrap.extract(pages).count() == 2
+    judged = urlrules.judge(pages, rules)
+    assert judged.count() == 2 and len(set(judged.columns)) == len(judged.columns)
+
+
+def test_stages_with_clashing_names(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    wide = docs.withColumns({c: F.lit("x") for c in TAKEN})
+    for name, stage in corpus_pipeline.STAGES:
+        plain, out = stage(spark, docs, sf), stage(spark, wide, sf)
+        assert set(wide.columns) <= set(out.columns), name
+        assert sorted(str(r["doc_id"]) for r in out.select("doc_id").collect()) == sorted(str(r["doc_id"]) for r in plain.select("doc_id").collect()), name
+
+
+def test_base_patterns_are_leftmost():
+    rng = random.Random(4)
+    email, ip = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+    for _ in range(20000):
+        t, u = ("".join(rng.choice(c) for _ in range(rng.randint(0, 24))) for c in ("a1.@@% -é\n", "12.. "))
+        assert [("email", *m.span()) for m in email.finditer(t)] == list(pii.emails(t))
+        assert [m.span() for m in ip.finditer(u)] == [m.span() for m in pii.BASE["ip"].finditer(u)]
+    long = "a" * 500_000 + " x@y.de " + "0" * 6000 + "1.2.3.4"
+    assert [(k, b - a) for k, a, b in pii.base_spans(long)] == [("email", 6), ("ip", 6007)]
+
+
 @pytest.mark.parametrize("text, want", [
     ("x\nReleased under the MIT License.", "1:mit"), ("Licensed under CC BY-NC 4.0.\n\nAll rights reserved.", "0:cc-by-nc,2:proprietary"),
     ("This work is licensed under the GNU General Public License, version 3.", "0:gpl"), ("Licensed under the Apache License, Version 2.0.", "0:apache"),
