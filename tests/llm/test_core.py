@@ -14,7 +14,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 from duck import same
 
 import corpus_pipeline
-from inkwell.llm import decontam, htmlwrap, langid, licenses, mixing, pii, quality, registry, simhash, urlrules
+from inkwell.llm import decontam, htmlwrap, langid, licenses, mixing, nearcopies, pii, quality, registry, simhash, urlrules
 
 ASCII = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 SCHEMA = "doc_id long, text string, source string, component string, n_chars long"
@@ -91,6 +91,60 @@ def test_joined_runs_lose_no_link(spark, monkeypatch):
     assert [got.get(s, s) for s in signed] == want
 
 
+def five_word_runs(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(ASCII))
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+
+
+def near_copies(seed=5):
+    """Texts with 0 to 5 words changed, a common line in all, groups whose members are alike in part, and what documents() has."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
+    common, texts = " ".join(word() for _ in range(12)), [None, "", " \t", "A", "a", "Ein Satz mit vier Ä", "ein satz mit vier Ä"]
+    for size in (6, 30, 100, 300):
+        for _ in range(12):
+            base = [word() for _ in range(size)]
+            texts.append(f"{common} {' '.join(base)}")
+            for changes in range(6):
+                t = list(base)
+                for at in rng.sample(range(size), changes):
+                    t[at] = word()
+                texts.append(f"{common} {' '.join(t)}")
+    return texts
+
+
+def test_near_copies_against_brute_force(spark):
+    texts = near_copies() + [r["text"] for r in documents(spark).collect()]
+    runs = [five_word_runs(t) for t in texts]
+    parent = list(range(len(texts)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(texts)):
+        for j in range(i):
+            both = len(runs[i] & runs[j])
+            if 5 * both >= 4 * (len(runs[i]) + len(runs[j]) - both):
+                a, b = sorted((root(i), root(j)))
+                parent[b] = a
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted(r["doc_id"] for r in nearcopies.representatives(docs).collect())
+    assert got == sorted({root(i) for i in range(len(texts))}) and len(got) < len(texts) * 0.7
+    assert nearcopies.representatives(docs.limit(0)).count() == 0
+
+
+def test_stage_drops_near_copies_beyond_four_bits(spark, sf):
+    rng = random.Random(8)
+    base = ["".join(rng.choice("abcdefgh") for _ in range(4)) for _ in range(100)]
+    texts = [" ".join("neu" if i in at else w for i, w in enumerate(base)) for at in ((), (30,), (40, 70))]
+    fps = [plain_fingerprint(t) for t in texts]
+    assert all(bin(fps[0] ^ f).count("1") > 4 for f in fps[1:])
+    docs = spark.createDataFrame([(i + 1, t, "en", "a", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    assert [r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, sf).collect()] == [1]
+
+
 def test_decontamination_edges(spark):
     items = spark.createDataFrame([(1, "Alpha beta GAMMA delta"), (2, None), (3, "?!"), (4, " ".join(f"w{i}" for i in range(14))), (4, "nur zwei"), (5, "é")], "item_id long, text string")
     body = " ".join(f"W{i}" for i in range(14))
