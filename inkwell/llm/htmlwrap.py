@@ -7,8 +7,9 @@ The expressions of a host are aligned one after another: where the streams agree
 they are merged, what one of them lacks becomes optional, what any repeats
 becomes repeated, and differing text is a slot. The result is the host's wrapper.
 Its slots are then judged as wholes, on what all pages of the host have in them:
-slots of an article or main region hold the text; without such a region the
-container with most varying, unlinked text does. Menus, headers, footers,
+slots of an article or main region hold the text, or else the containers with
+most varying, unlinked text do. A host may mix templates, so each page takes the
+best region that holds its own text. Menus, headers, footers,
 sidebars, notices, adverts, forms, scripts, styles and reader comments are known
 by their tags, roles, classes and ids.
 
@@ -232,16 +233,30 @@ def unwanted(path: str) -> bool:
     return False
 
 
-def content(wrapper: str, sums: dict[str, tuple[int, int, int, bool]]) -> list[str]:
-    """The slots of a wrapper that hold main text. sums: path to (pages, characters, of them linked, the same text on all pages)."""
+def content(wrapper: str, sums: dict[str, tuple[int, int, int, bool]]) -> list[list[str]]:
+    """The regions of a wrapper that can hold main text, best first, as slots: article, main, then containers until none with text is left.
+
+    sums: path to (pages, characters, of them linked, the same text on all pages).
+    """
     wanted = [p for p in dict.fromkeys(slots(parse(wrapper))) if not unwanted(p)]
 
     def under(test) -> list[str]:
         return [p for p in wanted if any(test(x) for x in p.split(">"))]
 
-    for test in (lambda x: re.match(r"article\b|[a-z0-9]+.*@articlebody\b", x), lambda x: re.match(r"main\b|[a-z0-9]+.*@main\b", x)):
-        if region := under(test):
-            return region
+    tests = (lambda x: re.match(r"article\b|[a-z0-9]+.*@articlebody\b", x), lambda x: re.match(r"main\b|[a-z0-9]+.*@main\b", x))
+    regions = [r for r in map(under, tests) if r]
+    rest = [p for p in wanted if not any(p in r for r in regions)]
+    while rest:
+        region = _container(rest, sums)
+        if not region:
+            return regions or [rest]
+        regions.append(region)
+        rest = [p for p in rest if p not in set(region)]
+    return regions
+
+
+def _container(wanted: list[str], sums: dict[str, tuple[int, int, int, bool]]) -> list[str]:
+    """The slots of the deepest container with nearly all varying, unlinked text; none without such text."""
     mass: dict[str, float] = {}
     for p in wanted:
         pages, chars, linked, same = sums.get(p, (0, 0, 0, False))
@@ -252,8 +267,7 @@ def content(wrapper: str, sums: dict[str, tuple[int, int, int, bool]]) -> list[s
             key = ">".join(names[:k])
             mass[key] = mass.get(key, 0.0) + weight * (1.2 if named else 1.0)
     if not mass or not max(mass.values()):
-        return wanted
-    # The deepest container that still has nearly all of it.
+        return []
     most = max(mass.values())
     region = max((k for k in mass if mass[k] >= 0.8 * most), key=lambda k: (k.count(">"), mass[k], k))
     if re.match(r"p|h[1-6]|li|td|dd|blockquote|pre", region.rpartition(">")[2]) and ">" in region:
@@ -261,6 +275,14 @@ def content(wrapper: str, sums: dict[str, tuple[int, int, int, bool]]) -> list[s
     return [p for p in wanted if p == region or p.startswith(f"{region}>")]
 
 
+def chosen(found: list[tuple[str, str, int]], regions: list[set[str]]) -> set[str]:
+    """A page's region: the first with half as much unlinked text on this page as any other has, or else the first with text at all."""
+    held = [[(len(text), linked) for path, text, linked in found if path in r] for r in regions]
+    mass = [sum(max(0, n - 2 * linked) for n, linked in h) for h in held]
+    most = max(mass, default=0)
+    return next((r for r, h, m in zip(regions, held, mass) if h and 2 * m >= most), set())
+
+
 def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each expression of a host, and for each of its slots, in a batch of pages."""
     for b in batches:
@@ -286,35 +308,36 @@ def _inferred(rows: pa.Table) -> pa.Table:
     r = rows.to_pylist()
     wrapper = infer([x["what"] for x in r if not x["slot"]])
     sums = {x["what"]: (x["pages"], x["chars"], x["linked"], x["low"] == x["high"]) for x in r if x["slot"]}
-    return pa.table([pa.array([r[0]["host"]]), pa.array([wrapper]), pa.array([content(wrapper, sums)], pa.list_(pa.string()))], ["host", "wrapper", "slots"])
+    return pa.table([pa.array([r[0]["host"]]), pa.array([wrapper]), pa.array([content(wrapper, sums)], pa.list_(pa.list_(pa.string())))], ["host", "wrapper", "regions"])
 
 
 def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, wrapper, slots) for every host: its expression, and the paths of its main text. Pages without a host are one host, ''."""
+    """(host, wrapper, regions) for every host: its expression, and the paths of its main text by region, best first. Pages without a host are one host, ''."""
     read = pages.select(host(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
     seen = read.mapInArrow(_gathered, "host string, slot boolean, what string, pages long, chars long, linked long, low long, high long")
     seen = seen.groupBy("host", "slot", "what").agg(F.sum("pages").alias("pages"), F.sum("chars").alias("chars"), F.sum("linked").alias("linked"), F.min("low").alias("low"), F.max("high").alias("high"))
-    return seen.groupBy("host").applyInArrow(_inferred, "host string, wrapper string, slots array<string>")
+    return seen.groupBy("host").applyInArrow(_inferred, "host string, wrapper string, regions array<array<string>>")
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", found: DataFrame | None = None) -> DataFrame:
-    """(id, url, text) for every page: its blocks in its host's content slots, joined by newlines.
+    """(id, url, text) for every page: its blocks in the best of its host's regions for this page, joined by newlines.
 
     Character references are decoded, white space inside a block is one space. A
-    null or empty page has an empty text, and so has one without content slots.
+    null or empty page has an empty text, and so has one with text in no region.
     Repeated rows give repeated rows. Other columns are not read. found: wrappers
     inferred before; every host of pages must be among them.
     """
-    found = cut(found if found is not None else wrappers(pages, url_col, html_col)).select(F.col("host").alias("__host"), "slots")
+    found = cut(found if found is not None else wrappers(pages, url_col, html_col)).select(F.col("host").alias("__host"), "regions")
     read = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host(F.col(url_col)).alias("__h"))
-    joined = read.join(small(found, 1024, 64 << 20), F.col("__h") == F.col("__host"), "left").select("id", "url", "html", "slots")
+    joined = read.join(small(found, 1024, 64 << 20), F.col("__h") == F.col("__host"), "left").select("id", "url", "html", "regions")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
             for page, where in zip(b.column(2), b.column(3).to_pylist()):
-                keep = set(where or ())
-                out.append("\n".join(t for path, t, _ in blocks(page.as_py() or "")[1] if path in keep))
+                found = blocks(page.as_py() or "")[1]
+                keep = chosen(found, [set(r) for r in where or ()])
+                out.append("\n".join(t for path, t, _ in found if path in keep))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.string())], ["id", "url", "text"])
 
     kind = pages.schema[id_col].dataType.simpleString()

@@ -174,6 +174,21 @@ def test_pages(spark):
     assert htmlwrap.extract(df).count() == len(rows) and htmlwrap.extract(df.limit(0)).count() == 0
 
 
+def test_pages_of_mixed_templates(spark):
+    text = "Ein langer Absatz mit eigenem Text und der Nummer %d, der auf dieser Seite steht."
+    teasers = "".join('<article class=card><a href="/%d">Mehr</a></article>' % k for k in range(3))
+    shapes = {
+        "article": "<body><nav>x</nav><article><p>%s</p></article></body>", "main": "<body><main><p>%s</p></main></body>", "div": "<body><div class=content><p>%s</p></div></body>",
+        "other": "<body><table><tr><td>%s</td></tr></table></body>", "cards": f"<body><main><p>%s</p>{teasers}</main></body>", "beside": f"<body><div class=content><p>%s</p></div><div>{teasers}</div></body>",
+    }
+    rows = [(f"{host}{name}{i}", url, shape % (text % i)) for host, url in (("a", "http://mixed.org/x"), ("b", None)) for name, shape in shapes.items() for i in range(6)]
+    got = {r["id"]: r["text"] for r in htmlwrap.extract(spark.createDataFrame(rows, "page_id string, url string, html string")).collect()}
+    assert all(text % int(name[-1]) in t for name, t in got.items()) and len(got) == len(rows)
+    assert got["aarticle3"] == got["bdiv3"] == got["aother3"] == text % 3
+    plain = htmlwrap.extract(spark.createDataFrame([x for x in rows if "div" in x[0] or "other" in x[0]], "page_id string, url string, html string")).collect()
+    assert all(r["text"] == text % int(r["id"][-1]) for r in plain)
+
+
 def test_wrapper_is_a_union_free_expression():
     pages = ["<html><body><h1>a</h1><p>x</p></body></html>", "<html><body><h1>b</h1><p>y</p><p>z</p></body></html>", "<html><body><h1>b</h1><div class=k>n</div><p>y</p></body></html>"]
     assert htmlwrap.infer([htmlwrap.blocks(p)[0] for p in pages]) == "html(body(h1(#) div.k(#)? p(#)+))"
