@@ -53,6 +53,11 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     their own row: rows are told apart by id and text together. Without items
     nothing is hit. Other columns of either table are not read.
     """
+    return _marked(docs, items, id_col, text_col, item_col, item_text_col, width).drop("mark")
+
+
+def _marked(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str, width: int) -> DataFrame:
+    """contamination() with the hash of each row's text, mark."""
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     mark = F.xxhash64(F.coalesce("text", F.lit("")))
     listed = own.select("id", mark.alias("mark"), words(F.col("text")).alias("w"))
@@ -73,13 +78,15 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     counted = own.select("id", mark.alias("mark"), F.regexp_count(F.coalesce("text", F.lit("")), F.lit(ANY_CASE_WORD)).cast("long").alias("n_words"))
     kind = items.schema[item_col].dataType.simpleString()
     both = counted.join(hits, F.col("id").eqNullSafe(F.col("hid")) & (F.col("mark") == F.col("hmark")), "left")
-    return both.select("id", "n_words", F.coalesce("hits", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("hit_items", F.expr(f"cast(array() as array<{kind}>)")).alias("hit_items"))
+    return both.select("id", counted["mark"], "n_words", F.coalesce("hits", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("hit_items", F.expr(f"cast(array() as array<{kind}>)")).alias("hit_items"))
 
 
 def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", width: int = 10) -> DataFrame:
-    """The rows of docs that hold no window of any item, all columns kept."""
-    found = contamination(docs, items, id_col, text_col, item_col, item_text_col, width).where("n_hit > 0").select(F.col("id").alias("__hit")).distinct()
-    return docs.join(found, docs[id_col].eqNullSafe(found["__hit"]), "left_anti")
+    """The rows of docs that hold no window of any item, all columns kept. Rows with one id, or none, are judged each by its own text."""
+    hit = _marked(docs, items, id_col, text_col, item_col, item_text_col, width).where("n_hit > 0")
+    found = hit.select(F.col("id").alias("__hit"), F.col("mark").alias("__mark")).distinct()
+    mark = F.xxhash64(F.coalesce(docs[text_col], F.lit("")))
+    return docs.join(found, docs[id_col].eqNullSafe(found["__hit"]) & (mark == found["__mark"]), "left_anti")
 
 
 def op8(spark, sf_dir: str) -> DataFrame:

@@ -156,6 +156,16 @@ def test_decontamination_edges(spark):
     assert decontam.contamination(docs.limit(0), items).count() == 0
 
 
+def test_rows_without_own_ids_are_judged_by_text(spark, sf):
+    items = spark.createDataFrame([(1, "alpha beta gamma")], "item_id long, text string")
+    rows = [(None, "x alpha beta gamma"), (None, "rein und leer"), (1, "alpha beta gamma y"), (1, "auch sauber"), (1, "ganz anders"), (2, "auch sauber")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    clean = decontam.clean(docs, items)
+    assert sorted(map(str, clean.collect())) == sorted(map(str, docs.where("text NOT LIKE '%beta%'").collect()))
+    kept = corpus_pipeline.near_duplicates(spark, docs.unionByName(spark.createDataFrame([(None, "auch sauber")], docs.schema)), sf)
+    assert sorted(map(str, kept.collect())) == sorted(map(str, docs.where("NOT (doc_id <=> 2)").collect()))
+
+
 def test_mixing(spark):
     docs = documents(spark)
     rows = mixing.copies(docs).collect()
