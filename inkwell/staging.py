@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: The folders written in each open scratch(), the innermost last.
+_scopes: list[list[str]] = []
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: what spark.checkpoint.dir names, or one already set on the context.
@@ -24,7 +29,36 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """df written as Parquet in the shared folder, and read again: for wide rows, of which later scans take a few columns."""
+    """df written as Parquet in the shared folder, and read again: its lineage ends there, and later scans take the columns they need."""
     path = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Yields keep(df), which stores df; every other folder that stored() writes inside is removed at the end.
+
+    What is kept belongs to the scratch() around this one, if there is one. Tables that read a removed folder must not be used afterwards.
+    """
+    made: list[str] = []
+    kept: list[str] = []
+    _scopes.append(made)
+
+    def keep(df: DataFrame) -> DataFrame:
+        out = stored(df)
+        kept.append(made[-1])
+        return out
+
+    try:
+        yield keep
+    finally:
+        _scopes.remove(made)
+        if _scopes:
+            _scopes[-1].extend(kept)
+        jvm = spark._jvm
+        for path in set(made) - set(kept):
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
