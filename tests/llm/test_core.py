@@ -156,6 +156,53 @@ def test_decontamination_edges(spark):
     assert decontam.contamination(docs.limit(0), items).count() == 0
 
 
+def plain_contamination(docs, items, width=10):
+    """(doc_id, n_words, n_hit, items) by comparing every window of every item with every place of every text."""
+    cut = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(ASCII))
+    wanted = {}
+    for item, text in items:
+        w = cut(text)
+        for i in range(max(len(w) - width + 1, 1) if w else 0):
+            wanted.setdefault(tuple(w[i : i + width]), set()).add(item)
+    out = []
+    for id_, text in docs:
+        w, hit, held = cut(text), set(), set()
+        for g, of in wanted.items():
+            for i in range(len(w) - len(g) + 1):
+                if tuple(w[i : i + len(g)]) == g:
+                    hit |= set(range(i, i + len(g)))
+                    held |= of
+        out.append((id_, len(w), len(hit), sorted(held, key=str)))
+    return out
+
+
+@pytest.mark.parametrize("limit_bytes", [32 << 20, 0])
+def test_decontamination_against_brute_force(spark, limit_bytes):
+    """Both ways: shingles broadcast, and the documents' places shuffled."""
+    rng = random.Random(12)
+    words = [*"abcdefgh", "é", "É", "Ab", "word", "x1"]
+    text = lambda n: rng.choice([" ", ", ", "\n"]).join(rng.choice(words) for _ in range(n))
+    items = [(i, text(n)) for i, n in enumerate([1, 2, 2, 3, 4, 9, 10, 11, 14, 25, 25])] + [(None, text(12)), (None, text(3)), (3, text(10)), (20, None), (21, "?!"), (22, "the the the the the the the the the the")]
+    docs = [(i, text(rng.randint(0, 60))) for i in range(40)] + [(i, f"{text(5)} {rng.choice(items)[1]} {text(5)}") for i in range(40, 90)]
+    docs += [(None, docs[50][1]), (None, docs[50][1]), (None, "nothing here at all"), (7, docs[60][1]), (8, None), (9, ""), (91, "the " * 5000), (92, f"{items[9][1]} {text(3000)} {items[9][1]}")]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = [(r["id"], r["n_words"], r["n_hit"], sorted(r["hit_items"], key=str)) for r in decontam.contamination(d, b, limit_bytes=limit_bytes).collect()]
+    want = plain_contamination(docs, items)
+    assert sorted(map(str, got)) == sorted(map(str, want))
+    clean = decontam.clean(d, b, limit_bytes=limit_bytes)
+    assert sorted(map(str, clean.collect())) == sorted(str(r) for r, w in zip(d.collect(), want) if not w[2])
+
+
+def test_decontamination_shuffles_no_word_list(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f g h i j k")], "id long, text string")
+    known = spark.createDataFrame([("a b c",)], "shingle string")
+    plan = decontam._places(docs, known, [3], 0)._jdf.queryExecution().executedPlan().toString().splitlines()
+    exchange = next(i for i, line in enumerate(plan) if "hashpartitioning(own" in line)
+    carried = [re.sub(r".* AS |#.*", "", c) for c in plan[exchange + 1].partition("[")[2].split("#") if " AS " in c]
+    assert not any("BroadcastHashJoin" in line for line in plan) and carried[-2:] == ["own", "here"]
+    assert "w" not in re.findall(r"(?:^|, )(\w+)#\d+L?(?=,|\])", re.sub(r"CASE .*? END AS", "", plan[exchange + 1].partition("[")[2]))
+
+
 def test_rows_without_own_ids_are_judged_by_text(spark, sf):
     items = spark.createDataFrame([(1, "alpha beta gamma")], "item_id long, text string")
     rows = [(None, "x alpha beta gamma"), (None, "rein und leer"), (1, "alpha beta gamma y"), (1, "auch sauber"), (1, "ganz anders"), (2, "auch sauber")]
