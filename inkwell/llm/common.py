@@ -19,9 +19,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise df in the shared folder and cut its lineage."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise df in the shared folder and cut its lineage: a lost executor costs what was computed since, and staging.scratch() removes the folder."""
+    return stored(df)
 
 
 def ascii_lower(col):

@@ -1,11 +1,16 @@
 """Near-duplicates by SimHash, compared through a table of distances to reference fingerprints.
 
-Text becomes a 64-bit fingerprint. Two fingerprints within `bits` of each other
-(4 at most) agree on at least two of six bit blocks, so the fifteen pairs
-of blocks partition the search without loss. Inside a partition the pivot
-distance table does the work: the Hamming distance is a metric, so a pair whose
-distances to any of the reference fingerprints differ by more than `bits` cannot
-be linked and is discarded; the survivors are verified by their own distance.
+Text becomes a 64-bit fingerprint, and each distinct fingerprint gets its row of
+the pivot table once: its distances to PIVOTS reference fingerprints. The Hamming
+distance is a metric, so a pair whose distances to any reference differ by more
+than `bits` cannot be linked; it is discarded by its largest coordinate
+difference, and the survivors are verified by their own distance.
+
+The search is partitioned without loss: fingerprints within `bits` of each other
+(4 at most) agree on all but four of any number of bit blocks, so each goes, with
+its row of the table, to one partition for every choice of the others. Blocks are
+six up to 2^27 distinct fingerprints, then seven, then eight: the keys widen with
+the table, so that partitions stay small.
 
 A partition is not expanded into pairs: it yields one edge for each member that
 joins a class. A partition over TILE members is split into pairs of tiles, each
@@ -22,11 +27,14 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from inkwell.llm.common import cut, small
 from inkwell.llm.components import components
 
-SEED, PIVOTS, TILE = 42, 16, 4096
+SEED, PIVOTS, TILE = 42, 32, 4096
+#: Blocks by the most distinct fingerprints, as a power of two, they serve; a pair agrees on all blocks but four.
+BLOCKS = ((27, 6), (33, 7), (63, 8))
 
 
 def fingerprint(text: str | None, shingle: int = 4) -> int:
@@ -65,17 +73,37 @@ def references(n: int = PIVOTS) -> np.ndarray:
     return z ^ (z >> np.uint64(31))
 
 
-def _keys(fp: Column) -> Column:
-    """Fifteen keys: the bits of each pair of six blocks, under the number of the pair."""
-    width = [11, 11, 11, 11, 10, 10]
-    start = np.cumsum([0, *width]).tolist()
-    block = [F.shiftrightunsigned(fp, a).bitwiseAND((1 << w) - 1) for a, w in zip(start, width)]
-    return F.array(*(F.shiftleft(block[i], 11).bitwiseOR(block[j]).bitwiseOR(F.lit(k << 22)) for k, (i, j) in enumerate(combinations(range(6), 2))))
+def pivot_table(fps: DataFrame) -> DataFrame:
+    """Distinct fingerprints (fp, ...) with far: their distances to the references, a byte each."""
+    width = fps.columns.index("fp")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fp = b.column(width).to_numpy(zero_copy_only=False).view(np.uint64)
+            far = np.bitwise_count(fp[:, None] ^ references()[None, :]).astype(np.uint8)
+            rows = pa.FixedSizeBinaryArray.from_buffers(pa.binary(PIVOTS), len(b), [None, pa.py_buffer(far.tobytes())]).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays([*b.columns, rows], [*b.schema.names, "far"])
+
+    return fps.mapInArrow(run, StructType([*fps.schema.fields, StructField("far", BinaryType())]))
 
 
-def join_runs(key: np.ndarray, fp: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Members of runs of equal keys, each with the first member of its class in the run; lone members are left out."""
-    table = np.bitwise_count(fp[:, None] ^ references()[None, :]).astype(np.int8).T.copy()
+def _keys(fp: Column, blocks: int) -> Column:
+    """One key for each choice of all blocks but four: their bits, under the number of the choice."""
+    width = [64 // blocks + (i < 64 % blocks) for i in range(blocks)]
+    start = np.cumsum([0, *width]).tolist()
+    block = [F.shiftrightunsigned(fp, a).bitwiseAND((1 << w) - 1) for a, w in zip(start, width)]
+    keys = []
+    for k, chosen in enumerate(combinations(range(blocks), blocks - 4)):
+        key = F.lit(k).cast("long")
+        for i in chosen:
+            key = F.shiftleft(key, width[i]).bitwiseOR(block[i])
+        keys.append(key)
+    return F.array(*keys)
+
+
+def join_runs(key: np.ndarray, fp: np.ndarray, far: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Members of runs of equal keys, each with the first member of its class in the run; lone members are left out. far: their rows (n, PIVOTS) of the pivot table."""
+    table = far.T.astype(np.int8)
     label = np.arange(len(key))
     left, step = np.flatnonzero(key[1:] == key[:-1]), 1
     first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
@@ -101,29 +129,36 @@ def join_runs(key: np.ndarray, fp: np.ndarray, bits: int) -> tuple[np.ndarray, n
     return fp[joined], fp[label[joined]]
 
 
-def links(fps: DataFrame, bits: int = 4) -> DataFrame:
-    """Edges (u, v) that connect exactly the distinct fingerprints reachable through distances of at most `bits`."""
-    keyed = fps.select("fp", F.explode(_keys(F.col("fp"))).alias("key"))
+def links(table: DataFrame, bits: int = 4, blocks: int | None = None) -> DataFrame:
+    """A pivot table (fp, far) to edges (u, v) that connect exactly the fingerprints reachable through distances of at most `bits`.
+
+    blocks: chosen by the number of fingerprints unless given; the result is the same for any.
+    """
+    n = table.count() if blocks is None else 0
+    blocks = blocks or next(b for power, b in BLOCKS if n <= 1 << power)
+    keyed = table.select("fp", "far", F.explode(_keys(F.col("fp"), blocks)).alias("key"))
     hot = cut(keyed.groupBy("key").count().where(F.col("count") > TILE))
     split = keyed.join(small(hot, 16), "key", "left").withColumn("g", F.coalesce(F.ceil(F.col("count") / TILE), F.lit(1)))
     mine = F.pmod(F.xxhash64("fp"), F.col("g"))
-    tiled = split.withColumn("mine", mine).select("fp", "key", "mine", F.explode(F.sequence(F.lit(0).cast("long"), F.col("g") - 1)).alias("other"))
-    tiled = tiled.select("fp", F.shiftleft("key", 34).bitwiseOR(F.shiftleft(F.least("mine", "other"), 17)).bitwiseOR(F.greatest("mine", "other")).alias("run"))
+    tiled = split.withColumn("mine", mine).select("fp", "far", "key", "mine", F.explode(F.sequence(F.lit(0).cast("long"), F.col("g") - 1)).alias("other"))
+    # Two runs with one number would only be compared in vain: what is found is verified.
+    tiled = tiled.select("fp", "far", F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("run"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, fp = np.empty(0, np.int64), np.empty(0, np.uint64)
+        key, fp, far = np.empty(0, np.int64), np.empty(0, np.uint64), np.empty((0, PIVOTS), np.uint8)
         for b in batches:
-            key = np.r_[key, b.column(1).to_numpy(zero_copy_only=False)]
-            fp = np.r_[fp, b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)]
-            if not len(key):
+            if not len(b):
                 continue
+            key = np.r_[key, b.column(2).to_numpy(zero_copy_only=False)]
+            fp = np.r_[fp, b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)]
+            far = np.concatenate([far, np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint8).reshape(-1, PIVOTS)])
             whole = np.searchsorted(key, key[-1])  # the last run may go on in the next batch
-            yield edges(key[:whole], fp[:whole])
-            key, fp = key[whole:], fp[whole:]
-        yield edges(key, fp)
+            yield edges(key[:whole], fp[:whole], far[:whole])
+            key, fp, far = key[whole:], fp[whole:], far[whole:]
+        yield edges(key, fp, far)
 
-    def edges(key: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
-        u, v = join_runs(key, fp, bits) if len(key) else (fp, fp)
+    def edges(key: np.ndarray, fp: np.ndarray, far: np.ndarray) -> pa.RecordBatch:
+        u, v = join_runs(key, fp, far, bits) if len(key) else (fp, fp)
         return pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], ["u", "v"])
 
     return tiled.repartition("run").sortWithinPartitions("run").mapInArrow(run, "u long, v long")
@@ -139,7 +174,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if not 0 <= bits <= 4:
         raise ValueError("bits must be from 0 to 4: wider distances need other blocks")
     table = cut(fingerprints(docs, id_col, text_col, shingle))
-    classes = cut(table.groupBy("fp").agg(F.min("id").alias("least")))
+    classes = cut(pivot_table(table.groupBy("fp").agg(F.min("id").alias("least"))))
     found = cut(components(links(classes, bits)))
     member = found.select(F.col("u").alias("fp"), "root").unionByName(found.select(F.col("root").alias("fp"), "root").distinct())
     member = member.join(classes, "fp")

@@ -82,13 +82,15 @@ def test_joined_runs_lose_no_link(spark, monkeypatch):
     flips = [sum(1 << int(b) for b in rng.choice(64, rng.integers(0, 5), replace=False)) for _ in range(300)]
     fps = sorted({int(centre[i % 3]) ^ f for i, f in enumerate(flips)} | {int(x) for x in rng.integers(0, 1 << 63, 100)})
     monkeypatch.setattr(simhash, "TILE", 16)  # every hot key is split into tiles
-    df = spark.createDataFrame([(int(np.uint64(x).view(np.int64)),) for x in fps], "fp long")
+    df = simhash.pivot_table(spark.createDataFrame([(int(np.uint64(x).view(np.int64)),) for x in fps], "fp long"))
+    assert all(list(r["far"]) == [bin((r["fp"] % (1 << 64)) ^ int(p)).count("1") for p in simhash.references()] for r in df.limit(20).collect())
     from inkwell.llm.components import components as connect
 
-    got = {r["u"]: r["root"] for r in connect(simhash.links(df)).collect()}
     signed = [int(np.uint64(x).view(np.int64)) for x in fps]
     want = components(signed, fps)
-    assert [got.get(s, s) for s in signed] == want
+    for blocks in (None, 6, 7, 8):
+        got = {r["u"]: r["root"] for r in connect(simhash.links(df, blocks=blocks)).collect()}
+        assert [got.get(s, s) for s in signed] == want
 
 
 def five_word_runs(text):
