@@ -42,11 +42,12 @@ def symbols(raw: np.ndarray) -> np.ndarray:
     return out
 
 
-def windows(texts: list[bytes], size: int, overlap: int, lead: np.ndarray | None = None, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def windows(texts: list[bytes], size: int, overlap: int, lead: np.ndarray | None = None, own: np.ndarray | None = None, marks: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Every window of every text: symbols (n, size), the text it is of, and the bytes that are new in it.
 
     An empty text has one empty window. lead and own: of a piece of a longer text,
     the bytes before it that are context alone, and the bytes after those that are its own.
+    marks: whether bytes in repetitions are symbols of their own.
     """
     length = np.array([len(t) for t in texts], np.int64)
     lead = np.zeros_like(length) if lead is None else lead
@@ -59,11 +60,11 @@ def windows(texts: list[bytes], size: int, overlap: int, lead: np.ndarray | None
         raw[s : s + len(t)] = np.frombuffer(t, np.uint8)
     of = np.repeat(np.arange(len(texts)), n)
     k = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
-    view = np.lib.stride_tricks.sliding_window_view(symbols(raw), size)[start[of] + lead[of] + k * step]
+    view = np.lib.stride_tricks.sliding_window_view(symbols(raw) if marks else raw.astype(np.int16), size)[start[of] + lead[of] + k * step]
     return view, of, np.minimum(step, own[of] - k * step)
 
 
-def pieces(texts: list[bytes], size: int, overlap: int, most: int = 1 << 20):
+def pieces(texts: list[bytes], size: int, overlap: int, most: int = 1 << 20, marks: bool = True):
     """Windows of texts in portions of about `most` bytes, long texts in several: (view, text, new bytes), as windows() has them."""
     step, context = size - overlap, LAGS + RUN
     held, of, lead, own, total = [], [], [], [], 0
@@ -76,11 +77,11 @@ def pieces(texts: list[bytes], size: int, overlap: int, most: int = 1 << 20):
             own.append(min(len(t), after) - a)
             total += len(held[-1])
             if total >= most:
-                view, k, new = windows(held, size, overlap, np.array(lead), np.array(own))
+                view, k, new = windows(held, size, overlap, np.array(lead), np.array(own), marks)
                 yield view, np.array(of)[k], new
                 held, of, lead, own, total = [], [], [], [], 0
     if held:
-        view, k, new = windows(held, size, overlap, np.array(lead), np.array(own))
+        view, k, new = windows(held, size, overlap, np.array(lead), np.array(own), marks)
         yield view, np.array(of)[k], new
 
 
@@ -166,10 +167,7 @@ def train(view: np.ndarray, label: np.ndarray, weight: np.ndarray, classes: list
     return net
 
 
-def examples(texts: list[bytes], labels: np.ndarray, size: int, overlap: int, most: int, seed: int = 7) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """At most `most` training windows, their labels, and weights that give every label the same sum."""
-    view, of, _ = windows(texts, size, overlap)
-    keep = np.random.default_rng(seed).permutation(len(view))[:most]
-    y = labels[of[keep]]
-    share = np.bincount(y, minlength=int(labels.max()) + 1)
-    return view[keep], y, (len(y) / np.maximum(share, 1) / max(1, (share > 0).sum()))[y].astype(np.float32)
+def weights(labels: np.ndarray) -> np.ndarray:
+    """Weights that give every label the same sum."""
+    share = np.bincount(labels)
+    return (len(labels) / np.maximum(share, 1) / max(1, (share > 0).sum()))[labels].astype(np.float32)

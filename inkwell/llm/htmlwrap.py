@@ -13,8 +13,13 @@ best region that holds its own text. Menus, headers, footers,
 sidebars, notices, adverts, forms, scripts, styles and reader comments are known
 by their tags, roles, classes and ids.
 
-A host reaches one task only as its distinct expressions and its slots' sums, which
-are added up before the shuffle; pages themselves are not gathered.
+Text that stays the same on all pages of a host, in a region where other text
+varies, is part of the wrapper and of no article.
+
+A host reaches one task only as expressions and its slots' sums, which are added
+up before the shuffle; pages themselves are not gathered. Of many distinct
+expressions, about FAN at a time are aligned to partial wrappers, and these again.
+What one task must hold is the wrapper itself: the distinct paths of a host.
 """
 
 from __future__ import annotations
@@ -34,18 +39,24 @@ from inkwell.llm.urlrules import host
 #: Fixed lists: elements by their part in HTML.
 BLOCKS = frozenset("html body address article aside blockquote canvas center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul caption head title".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe object svg math textarea select button title audio video map xmp noembed noframes".split())
+RAW = frozenset("script style noscript template iframe object svg textarea select button title audio video map noembed noframes".split())
 CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
     "tbody": {"thead", "tbody", "tfoot", "tr", "td", "th"}, "tfoot": {"thead", "tbody", "tr", "td", "th"}, "body": {"head"},
 }
 SCOPES = frozenset("ul ol dl table".split())
 BOILERPLATE_TAGS = frozenset("nav footer aside form dialog menu fieldset head title".split())
+AROUND = frozenset("form fieldset dialog".split())
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
-BOILERPLATE_WORDS = re.compile(
-    r"ad|ads|adv|advert\w*|adsense|sponsor\w*|promo\w*|banner|sidebar|side|nav|navbar|navigation|menu\w*|breadcrumbs?|header|masthead|topbar|footer|foot|bottombar|cookies?|consent|gdpr|"
-    r"notices?|notification|alert|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|share|sharing|social|related|recommend\w*|comments?|commentlist|disqus|respond|reply|replies|widget|toolbar|pagination|pager|skip|hidden"
-)
+#: Words in class names and ids. Strong ones mark boilerplate wherever they stand, weak ones only as the thing named:
+#: the last word that isn't of the third list. Words of the fourth turn the name around, those of the fifth make a header the article's own.
+STRONG = re.compile(r"ads?|adv|advert\w*|adsense|sponsor\w*|promo\w*|sidebar|navbar|navigation|breadcrumbs?|masthead|cookies?|consent|gdpr|popup|modal|newsletter|subscribe|subscription|signup|comments?|commentlist|disqus|pagination")
+WEAK = re.compile(r"banner|side|nav|menu\w*|header|topbar|footer|foot|bottombar|notices?|notification|alert|overlay|login|share|sharing|social|related|recommend\w*|respond|reply|replies|widgets?|toolbar|pager|skip|hidden")
+GENERIC = frozenset("area author bar block body bottom box button buttons center container content count form group holder icon icons inner item items label left link links list media meta n next outer panel post posts previous primary right secondary section slot text title top unit wrap wrapper".split())
+NEGATES = frozenset("has have no non not with without".split())
+OWN_HEADER = frozenset("article content entry post story".split())
+#: Pages from which on an unchanging text is taken for the wrapper's; expressions aligned in one task; levels of nesting that an expression has.
+FIXED, FAN, DEEPEST = 5, 256, 128
 REGION_WORDS = re.compile(r"content|article|articlebody|post|entry|story|main|body|text")
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|</?[A-Za-z][^<>]*>?|[^<]+|<", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|itemprop)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
@@ -68,7 +79,7 @@ def blocks(html: str) -> tuple[str, list[tuple[str, str, int]]]:
     stack: list[tuple[str, str, list[str]]] = [("", "", [])]  # tag, label, what it holds so far
     found: list[tuple[str, str, int]] = []
     text: list[str] = []
-    links, inside = 0, 0
+    links, inside, deeper = 0, 0, 0
 
     def flush() -> None:
         nonlocal links
@@ -110,7 +121,10 @@ def blocks(html: str) -> tuple[str, list[tuple[str, str, int]]]:
         if m[1]:
             if tag == "a":
                 inside = max(0, inside - 1)
-            if tag in BLOCKS:
+            if tag in BLOCKS and deeper:
+                flush()
+                deeper -= 1
+            elif tag in BLOCKS:
                 for k in range(len(stack) - 1, 0, -1):
                     if stack[k][0] == tag:
                         close(k)
@@ -129,6 +143,9 @@ def blocks(html: str) -> tuple[str, list[tuple[str, str, int]]]:
             text.append(" ")
         elif tag in BLOCKS:
             flush()
+            if len(stack) > DEEPEST:  # deeper blocks are blocks of the last level
+                deeper += tag not in VOID and tag not in CLOSES and tag != "p"
+                continue
             if stack[-1][0] == "p":  # a block ends an open paragraph
                 close(len(stack) - 1)
             ends = CLOSES.get(tag, ())
@@ -215,20 +232,33 @@ def slots(nodes: list, path: tuple[str, ...] = ()) -> list[str]:
     return [">".join(path)] * any(n == "#" for n, _, _ in nodes) + [p for n, _, c in nodes if n != "#" for p in slots(c, (*path, n))]
 
 
+def boilerplate(name: str) -> bool:
+    """Whether a class name or id marks boilerplate."""
+    words = re.split(r"[-_]+", name.lower())
+    if NEGATES.intersection(words):
+        return False
+    if any(map(STRONG.fullmatch, words)):
+        return True
+    named = next((w for w in reversed(words) if w not in GENERIC), "")
+    return bool(WEAK.fullmatch(named)) and not (named == "header" and OWN_HEADER.intersection(words))
+
+
 def unwanted(path: str) -> bool:
-    """Whether a label of the path marks boilerplate."""
-    inner = False
-    for x in path.split(">") if path else ():
+    """Whether a label of the path marks boilerplate. A form or dialog around an article or main region is none."""
+    inner, names = False, path.split(">") if path else []
+    regions = [k for k, x in enumerate(names) if re.match(r"(article|main)\b", x)]
+    for k, x in enumerate(names):
         tag, *marks = re.split(r"(?=[.@])", x)
-        if tag in BOILERPLATE_TAGS or (tag == "header" and not inner):
+        around = bool(regions) and k < regions[-1]
+        if tag in BOILERPLATE_TAGS - (AROUND if around else frozenset()) or (tag == "header" and not inner):
             return True
         inner |= tag in ("article", "main")
-        if tag in ("html", "body", "article", "main"):
+        if tag in ("html", "body", "main"):
             continue
         for mark in marks:
-            if mark[0] == "@" and mark[1:] in BOILERPLATE_ROLES:
+            if mark[0] == "@" and mark[1:] in BOILERPLATE_ROLES - (AROUND if around else frozenset()):
                 return True
-            if mark[0] == "." and any(BOILERPLATE_WORDS.fullmatch(w) for w in re.split(r"[-_]+", mark[1:])):
+            if mark[0] == "." and mark[1:] and boilerplate(mark[1:]):
                 return True
     return False
 
@@ -244,17 +274,27 @@ def content(wrapper: str, sums: dict[str, tuple[int, int, int, bool]]) -> list[l
         return [p for p in wanted if any(test(x) for x in p.split(">"))]
 
     tests = (lambda x: re.match(r"article\b|[a-z0-9]+.*@articlebody\b", x), lambda x: re.match(r"main\b|[a-z0-9]+.*@main\b", x))
-    regions = [r for r in map(under, tests) if r]
-    rest = [p for p in wanted if not any(p in r for r in regions)]
+    regions = [_varying(r, sums) for r in map(under, tests) if r]
+    taken = {p for r in map(under, tests) for p in r}
+    rest = [p for p in wanted if p not in taken]
     while rest:
         region = _container(rest, sums)
         if not region:
             return regions or [rest]
-        regions.append(region)
+        regions.append(_varying(region, sums))
         rest = [p for p in rest if p not in set(region)]
     return regions
 
 
+def _varying(region: list[str], sums: dict[str, tuple[int, int, int, bool]]) -> list[str]:
+    """A region without the slots that are filled alike on all pages that have the region, if the text in its other slots is the more."""
+    most = max((sums[p][0] for p in region if p in sums), default=0)
+    alike = {p for p in region if p in sums and sums[p][3] and sums[p][0] == most >= FIXED}
+    chars = lambda ps: sum(sums.get(p, (0, 0, 0, False))[1] for p in ps)
+    varying = [p for p in region if p not in alike]
+    return varying if chars(varying) > chars(alike) else region
+
+
 def _container(wanted: list[str], sums: dict[str, tuple[int, int, int, bool]]) -> list[str]:
     """The slots of the deepest container with nearly all varying, unlinked text; none without such text."""
     mass: dict[str, float] = {}
@@ -304,6 +344,10 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(list(v), k) for v, k in zip([*keys, *values], kinds)], ["host", "slot", "what", "pages", "chars", "linked", "low", "high"])
 
 
+def _partial(rows: pa.Table) -> pa.Table:
+    return pa.table([rows["host"][:1], pa.array([infer(rows["what"].to_pylist())])], ["host", "what"])
+
+
 def _inferred(rows: pa.Table) -> pa.Table:
     r = rows.to_pylist()
     wrapper = infer([x["what"] for x in r if not x["slot"]])
@@ -311,12 +355,23 @@ def _inferred(rows: pa.Table) -> pa.Table:
     return pa.table([pa.array([r[0]["host"]]), pa.array([wrapper]), pa.array([content(wrapper, sums)], pa.list_(pa.list_(pa.string())))], ["host", "wrapper", "regions"])
 
 
-def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html", fan: int = FAN) -> DataFrame:
     """(host, wrapper, regions) for every host: its expression, and the paths of its main text by region, best first. Pages without a host are one host, ''."""
     read = pages.select(host(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
     seen = read.mapInArrow(_gathered, "host string, slot boolean, what string, pages long, chars long, linked long, low long, high long")
-    seen = seen.groupBy("host", "slot", "what").agg(F.sum("pages").alias("pages"), F.sum("chars").alias("chars"), F.sum("linked").alias("linked"), F.min("low").alias("low"), F.max("high").alias("high"))
-    return seen.groupBy("host").applyInArrow(_inferred, "host string, wrapper string, regions array<array<string>>")
+    seen = cut(seen.groupBy("host", "slot", "what").agg(F.sum("pages").alias("pages"), F.sum("chars").alias("chars"), F.sum("linked").alias("linked"), F.min("low").alias("low"), F.max("high").alias("high")))
+    held = seen.where("NOT slot").select("host", "what")
+    while True:  # by levels: a task aligns about fan expressions, whatever a host has
+        counts = held.groupBy("host").agg(F.count("*").alias("n")).where(F.col("n") > fan)
+        many = cut(counts.select(F.col("host").alias("of"), F.ceil(F.col("n") / fan).alias("parts")))
+        if not many.limit(1).count():
+            break
+        dealt = held.join(small(many, 256), F.col("host") == F.col("of"), "left").withColumn("part", F.pmod(F.xxhash64("what"), F.coalesce("parts", F.lit(1))))
+        merged = dealt.where("parts IS NOT NULL").select("host", "what", "part").groupBy("host", "part").applyInArrow(_partial, "host string, what string")
+        held = cut(merged.unionByName(dealt.where("parts IS NULL").select("host", "what")).distinct())
+    none = [F.lit(None).cast("long").alias(c) for c in ("pages", "chars", "linked", "low", "high")]
+    both = held.select("host", F.lit(False).alias("slot"), "what", *none).unionByName(seen.where("slot"))
+    return both.groupBy("host").applyInArrow(_inferred, "host string, wrapper string, regions array<array<string>>")
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", found: DataFrame | None = None) -> DataFrame:
@@ -325,11 +380,14 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     Character references are decoded, white space inside a block is one space. A
     null or empty page has an empty text, and so has one with text in no region.
     Repeated rows give repeated rows. Other columns are not read. found: wrappers
-    inferred before; every host of pages must be among them.
+    inferred before; every host of pages must be among them. Blocks nested deeper
+    than DEEPEST levels count as blocks of that level, none of their text is lost.
     """
     found = cut(found if found is not None else wrappers(pages, url_col, html_col)).select(F.col("host").alias("__host"), "regions")
     read = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host(F.col(url_col)).alias("__h"))
-    joined = read.join(small(found, 1024, 64 << 20), F.col("__h") == F.col("__host"), "left").select("id", "url", "html", "regions")
+    # The hosts are broadcast only if their paths, measured, take less than 64 MB.
+    size = found.agg(F.sum(F.aggregate(F.flatten("regions"), F.lit(0).cast("long"), lambda n, p: n + F.length(p) + 64) + 256)).first()[0] or 0
+    joined = read.join(F.broadcast(found) if size < 64 << 20 else found, F.col("__h") == F.col("__host"), "left").select("id", "url", "html", "regions")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -1,9 +1,11 @@
 """Language identification by a byte convolutional network.
 
-The network is trained in numpy on the driver, on a bounded sample of labelled
-excerpts, and applied to batches of fixed-length windows over whole texts. A
-text's probabilities are the mean of its windows', each weighted by the bytes
-that are new in it.
+The network is trained in numpy on the driver, on a bounded sample of the
+windows of a bounded sample of labelled rows, whose texts are cut up whole, and
+applied to batches of fixed-length windows over whole texts. A text's
+probabilities are the mean of its windows', each weighted by the bytes that are
+new in it. Repetitions aren't marked here: they say nothing of a language, and
+marked bytes would hardly be learned.
 """
 
 from __future__ import annotations
@@ -17,29 +19,35 @@ from pyspark.sql import functions as F
 
 from inkwell.llm import bytecnn
 from inkwell.llm.common import table
-from inkwell.llm.sampling import labelled_sample, remainder
+from inkwell.llm.sampling import labelled_rows, remainder, sampled_windows
 
-#: Filters by width, window in bytes, and the bounds of the sample: rows of a language, characters of a row, windows.
-WIDTHS, WINDOW, PER_LABEL, EXCERPT, EXAMPLES = {2: 8, 3: 16, 4: 16}, 256, 1500, 1024, 12000
+#: Filters by width, window in bytes, and the bounds of the sample: rows of a language, windows of all these rows.
+WIDTHS, WINDOW, PER_LABEL, EXAMPLES = {2: 8, 3: 16, 4: 16}, 256, 1500, 12000
 UNDETERMINED = "und"
 
 
-def fit(docs: DataFrame, learn: Column | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_label: int = PER_LABEL, excerpt_chars: int = EXCERPT) -> bytecnn.Network | None:
-    """A network for the languages of docs's rows with a language where learn holds; None without such rows."""
+def fit(docs: DataFrame, learn: Column | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_label: int = PER_LABEL, examples: int = EXAMPLES) -> bytecnn.Network | None:
+    """A network for the languages of docs's rows with a language where learn holds; None without such rows with a letter. Ids tell rows apart; rows without one are not learned from."""
     known = docs if learn is None else docs.where(learn)
-    rows = labelled_sample(docs, known.select(F.col(id_col).alias("id"), F.col(lang_col).alias("label")), per_label, excerpt_chars, id_col, text_col)
-    rows = [(t, y) for t, y in rows if any(c.isalpha() for c in t)]
-    if not rows:
+    rows = labelled_rows(docs, known.select(F.col(id_col).alias("id"), F.col(lang_col).alias("label")), per_label, id_col, text_col)
+    view, labels = sampled_windows(rows.where(F.col("text").rlike(r"\p{L}")), WINDOW, max(WIDTHS) - 1, examples, marks=False)
+    if not labels:
         return None
-    classes = sorted({y for _, y in rows})
-    labels = np.array([classes.index(y) for _, y in rows])
-    view, y, weight = bytecnn.examples([t.encode("utf-8", "surrogatepass") for t, _ in rows], labels, WINDOW, max(WIDTHS) - 1, EXAMPLES)
-    return bytecnn.train(view, y, weight, classes, WIDTHS)
+    classes = sorted(set(labels))
+    y = np.array([classes.index(x) for x in labels])
+    return bytecnn.train(shortened(view), y, bytecnn.weights(y), classes, WIDTHS, epochs=12)
+
+
+def shortened(view: np.ndarray, seed: int = 7) -> np.ndarray:
+    """The windows, half of them cut to between 12 and WINDOW bytes, so that texts with little evidence are learned too."""
+    rng = np.random.default_rng(seed)
+    size = np.where(rng.random(len(view)) < 0.5, rng.integers(12, WINDOW + 1, len(view)), WINDOW)
+    return np.where(np.arange(view.shape[1])[None, :] < size[:, None], view, 0)
 
 
 def probabilities(net: bytecnn.Network, texts: list[bytes]) -> np.ndarray:
     total, size = np.zeros((len(texts), len(net.classes))), np.zeros(len(texts))
-    for view, of, new in bytecnn.pieces(texts, net.window, net.overlap):
+    for view, of, new in bytecnn.pieces(texts, net.window, net.overlap, marks=False):
         np.add.at(total, of, bytecnn.softmax(net.logits(view)) * np.maximum(new, 1)[:, None])
         np.add.at(size, of, np.maximum(new, 1))
     return total / size[:, None]

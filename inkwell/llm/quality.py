@@ -2,8 +2,8 @@
 
 Filters are learned on chunks of labelled texts. A document's chunks, which
 cover all of it, give a mean, a smallest and a largest response of the network;
-a logistic regression on these three, learned on whole labelled excerpts, gives
-the document's one probability.
+a logistic regression on these three gives the document's one probability. It is
+learned on whole texts of every length, of rows that the filters did not see.
 """
 
 from __future__ import annotations
@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 
 from inkwell.llm import bytecnn
 from inkwell.llm.common import table
-from inkwell.llm.sampling import labelled_sample, remainder
+from inkwell.llm.sampling import labelled_rows, remainder, sampled_windows
 
-#: Filters by width, chunk in bytes, and the bounds of the sample: rows of a label, characters of a row, chunks.
-WIDTHS, CHUNK, PER_LABEL, EXCERPT, EXAMPLES = {3: 16, 5: 16}, 256, 3000, 2048, 16000
+#: Filters by width, chunk in bytes, and the bounds of the sample: rows of a label, chunks of all these rows.
+WIDTHS, CHUNK, PER_LABEL, EXAMPLES = {3: 16, 5: 16}, 256, 3000, 16000
 
 
 class Model:
@@ -47,21 +47,28 @@ class Model:
         return 1 / (1 + np.exp(-(self.margins(texts) @ self.combine)))
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_label: int = PER_LABEL, excerpt_chars: int = EXCERPT) -> Model:
-    """labels: (id, label) with label 0 or 1. With one label alone, or none, every score is that label, or a half."""
-    rows = labelled_sample(docs, labels, per_label, excerpt_chars, id_col, text_col)
-    y = np.array([int(r[1]) for r in rows])
-    if len(set(y.tolist())) < 2:
-        return Model(None, np.array([float(y[0]) if len(y) else 0.5]))
-    texts = [t.encode("utf-8", "surrogatepass") for t, _ in rows]
-    # One fold is kept from the filters, and the combination is learned there.
-    fold = np.arange(len(y)) % 4 == 0
-    if len(set(y[fold].tolist())) < 2 or len(set(y[~fold].tolist())) < 2:
-        fold = np.zeros(len(y), bool)
-    view, label, weight = bytecnn.examples([t for t, f in zip(texts, fold) if not f], y[~fold], CHUNK, max(WIDTHS) - 1, EXAMPLES)
-    model = Model(bytecnn.train(view, label, weight, [0, 1], WIDTHS), np.zeros(4))
-    rest = fold if fold.any() else ~fold
-    x, target = model.margins([t for t, f in zip(texts, rest) if f]), y[rest]
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_label: int = PER_LABEL, examples: int = EXAMPLES) -> Model:
+    """labels: (id, label) with label 0 or 1; an id with both is learned from as both. With one label alone, or none, every score is that label, or a half."""
+    rows = labelled_rows(docs, labels, per_label, id_col, text_col)
+    there = sorted(r["label"] for r in rows.select("label").distinct().collect())
+    if len(there) < 2:
+        return Model(None, np.array([float(there[0]) if there else 0.5]))
+    # A quarter of the rows is kept from the filters, and the combination is learned there, on whole texts.
+    fold = F.pmod(F.xxhash64("h"), F.lit(4)) == 0
+    rest = rows.where(fold)
+    if rest.select("label").distinct().count() < 2 or rows.where(~fold).select("label").distinct().count() < 2:
+        fold, rest = F.lit(False), rows
+    view, y = sampled_windows(rows.where(~fold), CHUNK, max(WIDTHS) - 1, examples)
+    y = np.array([int(v) for v in y])
+    model = Model(bytecnn.train(view, y, bytecnn.weights(y), [0, 1], WIDTHS), np.zeros(4))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            m = model.margins(b.column(2).cast(pa.binary()).to_pylist()) if len(b) else np.zeros((0, 4))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1).cast(pa.int64()), *map(pa.array, m.T.copy())], ["h", "label", "mean", "low", "high", "one"])
+
+    found = rest.select("h", "label", "text").mapInArrow(run, "h long, label long, mean double, low double, high double, one double").orderBy("h", "label").collect()
+    x, target = np.array([r[2:] for r in found]), np.array([r["label"] for r in found])
     balance = np.where(target == 1, 0.5 / max(1, (target == 1).sum()), 0.5 / max(1, (target == 0).sum()))
     for _ in range(30):  # Newton steps with a small ridge
         p = 1 / (1 + np.exp(-(x @ model.combine)))
