@@ -287,9 +287,14 @@ def content(wrapper: str, sums: dict[str, tuple[int, int, int, bool]]) -> list[l
 
 
 def _varying(region: list[str], sums: dict[str, tuple[int, int, int, bool]]) -> list[str]:
-    """A region without the slots that are filled alike on all pages that have the region, if the text in its other slots is the more."""
-    most = max((sums[p][0] for p in region if p in sums), default=0)
-    alike = {p for p in region if p in sums and sums[p][3] and sums[p][0] == most >= FIXED}
+    """A region without the slots that are filled alike on all pages that have their container, if the text in its other slots is the more."""
+    held: dict[str, int] = {}
+    for p in region:
+        names = p.split(">")
+        for k in range(len(names)):
+            key = ">".join(names[:k])
+            held[key] = max(held.get(key, 0), sums.get(p, (0,))[0])
+    alike = {p for p in region if p in sums and sums[p][3] and sums[p][0] == held[p.rpartition(">")[0]] >= FIXED}
     chars = lambda ps: sum(sums.get(p, (0, 0, 0, False))[1] for p in ps)
     varying = [p for p in region if p not in alike]
     return varying if chars(varying) > chars(alike) else region
