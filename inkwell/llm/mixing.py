@@ -55,14 +55,18 @@ def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sour
     Size is the number of words, 0 for null and empty texts. A null source is a
     source of its own, the last. Rows without words are copied at their source's
     rate and add nothing; a source without any words yields no copies. Repeated
-    rows are sampled one by one. Runs on the same rows agree.
+    rows are sampled one by one; rows with one id are told apart by a hash of their
+    text. Runs on the same rows agree. Bins follow the number of rows, so a row more
+    may deal all rows anew.
     """
     own = {c: c.replace("__mix_", "__own_", 1) for c in docs.columns if c.startswith("__mix_")}
     if own:
         found = copies(docs.withColumnsRenamed(own), *(own.get(c, c) for c in (id_col, text_col, source_col)), weights, share, most, seed)
         return found.withColumnsRenamed({new: old for old, new in own.items()})
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
-    key = F.col(id_col).cast("string")
+    # Rows without an id are dealt by their text, so that they don't fall into one bin.
+    mark = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    key = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("\x00null"), mark.cast("string")))
     light = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), size.alias("size"))
     per_source = cut(targets(light.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n")).drop("n"), weights, share, most))
     bins = max(LEAST_BINS, -(-docs.select(id_col).count() // BIN_ROWS))
@@ -74,8 +78,8 @@ def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sour
     offset = hash32(F.col("__mix_source"), f"{seed}-offset-") / F.lit(float(1 << 32))
     plan = counts.select("source", F.col("bin").alias("__mix_bin_of"), before.alias("__mix_before")).join(named, F.col("source").eqNullSafe(F.col("__mix_source"))).drop("source")
     plan = cut(plan.withColumns({"__mix_rate": rate, "__mix_offset": offset}))
-    sized = docs.withColumns({"__mix_size": size, "__mix_bin": bin_of, "__mix_tie": hash32(key, f"{seed}-tie-")})
-    within = Window.partitionBy(source_col, "__mix_bin").orderBy(F.when(F.col("__mix_bin") % 2 == 0, F.col("__mix_size")).otherwise(-F.col("__mix_size")), "__mix_tie", F.col(id_col).asc_nulls_first())
+    sized = docs.withColumns({"__mix_size": size, "__mix_bin": bin_of, "__mix_tie": hash32(key, f"{seed}-tie-"), "__mix_mark": mark})
+    within = Window.partitionBy(source_col, "__mix_bin").orderBy(F.when(F.col("__mix_bin") % 2 == 0, F.col("__mix_size")).otherwise(-F.col("__mix_size")), "__mix_tie", F.col(id_col).asc_nulls_first(), "__mix_mark")
     ranked = sized.withColumn("__mix_rank", F.row_number().over(within))
     joined = ranked.join(plan, ranked[source_col].eqNullSafe(F.col("__mix_source")) & (F.col("__mix_bin") == F.col("__mix_bin_of")))
     upto = lambda k: F.floor((F.col("__mix_before") + k) * F.col("__mix_rate") + F.col("__mix_offset"))

@@ -334,29 +334,3 @@ def test_pages_against_article_tags(spark):
         inner = re.search("<article>(.*?)</article>", pages[r["page_id"]], re.S)[1]
         parts = [" ".join(unescape(re.sub("<[^>]*>", " ", b)).split()) for b in re.split(r"</?(?:p|h1)>", inner)]
         assert r["text"] == "\n".join(p for p in parts if p) and r["n_chars"] == len(r["text"])
-
-
-def test_pipeline(spark):
-    import corpus_pipeline as pipeline
-
-    sf = "/root/testdata/sf0.001"
-    docs = {r["doc_id"]: r for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
-    out = pipeline.run(spark, sf).collect()
-    kept = {r["doc_id"] for r in out}
-    near = registry.queries()["op3_simhash_neardup"](spark, sf).collect()
-    heads = {r["doc_id"] for r in near if r["doc_id"] == r["component_id"]}
-    dirty = {r["doc_id"] for r in registry.queries()["op8_decontam_prefix_join"](spark, sf).where("contaminated").collect()}
-    assert kept <= heads - dirty and len(out) > len(kept) * 0.9
-    model = pii.train()
-    for r in out:
-        text = docs[r["doc_id"]]["text"]
-        assert r["text"] == pii.masked(text, sum(pii.all_spans(text, model), [])) and r["n_chars"] == len(r["text"])
-    for _, stage in pipeline.STAGES[:-1]:
-        found = stage(spark, spark.read.parquet(f"{sf}/documents.parquet"), sf)
-        assert found.columns == ["doc_id", "text", "lang", "source", "n_chars"]
-    empty = spark.read.parquet(f"{sf}/documents.parquet").limit(0)
-    assert all(stage(spark, empty, sf).count() == 0 for _, stage in pipeline.STAGES[1:])
-    odd = spark.createDataFrame([(None, None, None, None, None), (1, "Du le de la.", None, "a", 3), (1, "Du le de la.", None, "a", 3)], "doc_id long, text string, lang string, source string, n_chars long")
-    for _, stage in pipeline.STAGES:
-        assert stage(spark, odd, sf).count() >= 0
-    assert pipeline.near_duplicates(spark, odd, sf).where(F.col("doc_id") == 1).count() == 1
