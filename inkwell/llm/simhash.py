@@ -46,11 +46,17 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
     joined, size = b" ".join(words), np.fromiter(map(len, words), np.int64, len(words))
     end = np.cumsum(size + 1) - 1
     starts, ends = (end - size)[: len(words) - k + 1].tolist(), end[k - 1 :].tolist()
-    digest, total = xxhash.xxh64_intdigest, np.zeros(64, np.int64)
-    for at in range(0, len(starts), 1 << 16):
-        h = np.array([digest(joined[a:b], SEED) for a, b in zip(starts[at : at + (1 << 16)], ends[at : at + (1 << 16)])], dtype=">u8")
+    digest = xxhash.xxh64_intdigest
+    return folded(np.array([digest(joined[a:b], SEED) for a, b in zip(starts, ends)], np.uint64))
+
+
+def folded(hashes: np.ndarray) -> int:
+    """The fingerprint of a text's shingles by their hashes: a bit is set if over half of them have it; 0 for none."""
+    total = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), 1 << 16):
+        h = hashes[at : at + (1 << 16)].astype(">u8")
         total += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(total * 2 > len(starts)).tobytes(), "big")
+    return int.from_bytes(np.packbits(total * 2 > len(hashes)).tobytes(), "big")
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4) -> DataFrame:

@@ -57,7 +57,8 @@ def first_of_each_component(rows):
                 root[top(i)] = top(j)
     at, best = {t: i for i, t in enumerate(texts)}, {}
     for r in rows:
-        order = (r[0] is None, r[0] or 0, [(x is not None, x) if x is not None else (False, "") for x in r[1:]])
+        mark = xxhash.xxh64_intdigest((r[1] or "").encode(), 42) if re.search(r"[^\x20\x09-\x0D]", r[1] or "") else 0
+        order = (r[0] is None, r[0] or 0, mark - (mark >> 63 << 64), [(x is not None, x) if x is not None else (False, "") for x in r[1:]])
         k = top(at[r[1] or ""])
         if k not in best or order < best[k][0]:
             best[k] = (order, r)
