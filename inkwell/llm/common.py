@@ -14,7 +14,16 @@ WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+#: Rows of a batch that goes to Python: whole texts are in it, several times over.
+BATCH_ROWS = 1000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of sf_dir. Batches for Python hold BATCH_ROWS rows at most from then on in this session, unless it asks for fewer."""
+    name_of = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    rows = int(spark.conf.get(name_of))
+    if not 0 < rows <= BATCH_ROWS:
+        spark.conf.set(name_of, str(BATCH_ROWS))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
