@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkwell.operators.features import categories
@@ -43,6 +46,14 @@ def impute(df: DataFrame, target: str, numeric: list[str], dummies: list[str], s
         if not wrong:
             filled = fit.withColumns({"imputed": missing, "method": F.when(missing, "regresion"), target: F.coalesce(target, F.round("__fit", 2))})
             return filled.drop("__fit")
-    medians = [F.percentile(target, 0.5).over(Window.partitionBy(*s) if s else Window.partitionBy(F.lit(0))) for s in strata]
-    found = df.withColumn("__median", F.coalesce(*medians))
+    found = df
+    for k, s in enumerate(strata):  # each stratum is aggregated on its own and joined back; nulls are a value of a stratum
+        middle = df.groupBy(*(F.col(c).alias(f"__{k}_{i}") for i, c in enumerate(s))).agg(F.percentile(target, 0.5).alias(f"__median{k}"))
+        if s:
+            same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"__{k}_{i}")) for i, c in enumerate(s)))
+            found = found.join(middle, same, "left").drop(*(f"__{k}_{i}" for i in range(len(s))))
+        else:
+            found = found.crossJoin(F.broadcast(middle))  # one row
+    medians = [f"__median{k}" for k in range(len(strata))]
+    found = found.withColumn("__median", F.coalesce(*medians)).drop(*medians)
     return found.withColumns({"imputed": missing & F.col("__median").isNotNull(), "method": F.when(missing & F.col("__median").isNotNull(), "mediana"), target: F.coalesce(target, "__median")}).drop("__median")

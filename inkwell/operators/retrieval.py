@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from inkwell.functions.text import clean_scientific, is_content, stem
+
 #: Tokens of the vectorizer: a word character, then word characters and hyphens.
 TOKEN = r"(?U)\b\w[\w-]+\b"
 
@@ -15,6 +17,14 @@ def terms(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return tokens.groupBy("id", "term").agg(F.count("*").alias("tf"))
 
 
+def prepared_terms(docs: DataFrame, id_col: str, text_col: str, language: str = "auto") -> DataFrame:
+    """terms() of texts that are preprocessed here: each token is counted first, and every distinct one of an id stemmed once."""
+    tokens = docs.select(F.col(id_col).alias("id"), F.explode(F.split(clean_scientific(F.col(text_col)), " ")).alias("token"))
+    counted = tokens.where(is_content(F.col("token"), language)).groupBy("id", "token").agg(F.count("*").alias("n"))
+    stems = counted.select("id", "n", F.explode(F.regexp_extract_all(F.lower(stem(F.col("token"), language)), F.lit(TOKEN), 0)).alias("term"))
+    return stems.groupBy("id", "term").agg(F.sum("n").alias("tf"))
+
+
 def fit_idf(docs_terms: DataFrame, documents: DataFrame, smooth: bool = True) -> DataFrame:
     """(term, df, idf). Smooth: ln((1 + n) / (1 + df)) + 1; else ln(n / df). n counts the documents without terms too."""
     n = documents.agg(F.count("*").alias("n"))
@@ -38,17 +48,51 @@ def cosine(queries: DataFrame, documents: DataFrame) -> DataFrame:
 
 
 def all_pairs(scores: DataFrame, queries: DataFrame, documents: DataFrame) -> DataFrame:
-    """scores with 0 for the pairs it lacks: for few candidates, such as the journals of a catalogue."""
+    """scores with 0 for the pairs it lacks, a product: only where another score is defined for every pair, and candidates are few. For the best k see filled()."""
     return queries.select("query_id").distinct().join(documents.select("doc_id").distinct()).join(scores, ["query_id", "doc_id"], "left").fillna(0.0, ["score"])
 
 
+def filled(scores: DataFrame, queries: DataFrame, first: DataFrame, score: str = "score") -> DataFrame:
+    """scores (query_id, doc_id, score >= 0), and with 0 what each query lacks of first (doc_id): (query_id, doc_id, score, scored).
+
+    Pairs without a score tie at 0, so the k best of all pairs are among scores and the k candidates that the order of
+    ties puts first. Those k are all that is paired with every query.
+    """
+    rest = queries.select("query_id").distinct().crossJoin(F.broadcast(first.select("doc_id"))).select("query_id", "doc_id", F.lit(0.0).alias(score), F.lit(False).alias("scored"))
+    both = scores.select("query_id", "doc_id", score, F.lit(True).alias("scored")).unionByName(rest)
+    return both.groupBy("query_id", "doc_id").agg(F.max(score).alias(score), F.max("scored").alias("scored"))
+
+
+def top_of_all(scores: DataFrame, queries: DataFrame, documents: DataFrame, k: int) -> DataFrame:
+    """top() of the scores with 0 for every pair of queries and documents that they lack, without making those pairs."""
+    first = documents.select("doc_id").distinct().orderBy("doc_id").limit(k)
+    return top(filled(scores, queries, first).drop("scored"), k)
+
+
+def dot(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)
+
+
 def dense_cosine(a: Column, b: Column) -> Column:
     """Cosine of two arrays; 0 if one has no length."""
-    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)
     length = F.sqrt(dot(a, a)) * F.sqrt(dot(b, b))
     return F.when(length > 0, dot(a, b) / length).otherwise(0.0)
 
 
+def dense_top(queries: DataFrame, documents: DataFrame, k: int, digits: int = 9, block: int = 1 << 14) -> DataFrame:
+    """The k documents (doc_id, vector) of the largest cosine for each query (query_id, vector), itself left out: exact, for few stated queries.
+
+    Documents are dealt into blocks of about `block`, each of which meets the queries once; lengths are taken once for a
+    vector. Scores are rounded before they are ranked; vectors without a length score 0.
+    """
+    blocks = max(1, -(-documents.count() // block))
+    d = documents.select("doc_id", F.col("vector").alias("d"), F.sqrt(dot(F.col("vector"), F.col("vector"))).alias("d_length"), F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).alias("block"))
+    q = queries.select("query_id", F.col("vector").alias("q"), F.sqrt(dot(F.col("vector"), F.col("vector"))).alias("q_length"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"))
+    length = F.col("q_length") * F.col("d_length")
+    score = F.when(length > 0, dot(F.col("q"), F.col("d")) / length).otherwise(0.0)
+    return top(q.join(d, "block").where("query_id <> doc_id").select("query_id", "doc_id", F.round(score, digits).alias("score")), k)
+
+
 def fuse(tfidf: Column, dense: Column, alpha: float) -> Column:
     return F.lit(alpha) * tfidf + F.lit(1 - alpha) * dense
 
@@ -65,6 +109,25 @@ def with_quality(scores: DataFrame, quality: DataFrame, weight: float = 0.5) ->
     return scores.join(quality, "doc_id", "left").withColumn("final", (1 - weight) * unit_range(F.col("score"), own) + weight * F.col("quality"))
 
 
+def quality_top(scores: DataFrame, queries: DataFrame, documents: DataFrame, quality: DataFrame, k: int, weight: float = 0.5, digits: int = 12) -> DataFrame:
+    """top() by final of with_quality() over every pair of queries and documents, scores >= 0 and 0 where they lack a pair, without making all pairs.
+
+    A document without a score goes after those of its query that have a better quality, so only the k of best quality
+    can be among the k best. final is rounded to digits before it is ranked, and those k are chosen by the rounded share.
+    """
+    every = documents.select("doc_id").distinct().join(quality.select("doc_id", "quality"), "doc_id", "left")
+    first = every.orderBy(F.round(weight * F.col("quality"), digits).desc_nulls_last(), "doc_id").limit(k)
+    n = every.agg(F.count("*").alias("__n"))
+    own = Window.partitionBy("query_id")
+    pairs = filled(scores, queries, first).crossJoin(F.broadcast(n))
+    low = F.when(F.count_if("scored").over(own) < F.col("__n"), 0.0).otherwise(F.min("score").over(own))
+    high = F.max("score").over(own)
+    unit = F.when(high > low, (F.col("score") - low) / (high - low)).otherwise(0.5)
+    both = pairs.withColumn("__unit", unit).join(quality.select("doc_id", "quality"), "doc_id", "left")
+    final = F.round((1 - weight) * F.col("__unit") + weight * F.col("quality"), digits)
+    return top(both.withColumn("final", final).drop("scored", "__n", "__unit"), k, "final")
+
+
 def top(scores: DataFrame, k: int, score: str = "score", by: str = "query_id", id_col: str = "doc_id") -> DataFrame:
     """The k best of each query with rank from 1: nulls last, ties by id."""
     order = Window.partitionBy(by).orderBy(F.col(score).desc_nulls_last(), F.col(id_col))

@@ -53,11 +53,17 @@ def fit(journals: DataFrame, quality: DataFrame, dense: DataFrame | None = None,
     return Model(idf, retrieval.weigh(terms, idf), quality, dense, alpha)
 
 
-def thematic(model: Model, manuscripts: DataFrame, vectors: DataFrame | None = None) -> DataFrame:
-    """(query_id, doc_id, tfidf, dense, score) of every manuscript (id, title, abstract, keywords) with every journal; vectors: (id, vector)."""
+def _cosines(model: Model, manuscripts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(query_id) of the manuscripts, and (query_id, doc_id, score) of those that share a term with a journal."""
     texts = manuscripts.select("id", manuscript_text(F.col("title"), F.col("abstract"), F.col("keywords")).alias("text"))
     queries = retrieval.weigh(retrieval.terms(texts, "id", "text"), model.idf)
-    pairs = retrieval.all_pairs(retrieval.cosine(queries, model.weights), texts.select(F.col("id").alias("query_id")), model.weights.select(F.col("id").alias("doc_id"))).withColumnRenamed("score", "tfidf")
+    return texts.select(F.col("id").alias("query_id")), retrieval.cosine(queries, model.weights)
+
+
+def thematic(model: Model, manuscripts: DataFrame, vectors: DataFrame | None = None) -> DataFrame:
+    """(query_id, doc_id, tfidf, dense, score) of every manuscript (id, title, abstract, keywords) with every journal; vectors: (id, vector)."""
+    queries, scores = _cosines(model, manuscripts)
+    pairs = retrieval.all_pairs(scores, queries, model.weights.select(F.col("id").alias("doc_id"))).withColumnRenamed("score", "tfidf")
     if model.dense is None or vectors is None:
         return pairs.withColumn("dense", F.lit(0.0)).withColumn("score", retrieval.fuse(F.col("tfidf"), F.col("dense"), model.alpha))
     q, d = vectors.select(F.col("id").alias("query_id"), F.col("vector").alias("q")), model.dense.select(F.col("id").alias("doc_id"), F.col("vector").alias("d"))
@@ -66,25 +72,46 @@ def thematic(model: Model, manuscripts: DataFrame, vectors: DataFrame | None = N
     return both.withColumn("dense", dense).drop("q", "d").withColumn("score", retrieval.fuse(F.col("tfidf"), F.col("dense"), model.alpha))
 
 
-def recommend(model: Model, manuscripts: DataFrame, k: int = 10, order: tuple[str, ...] = ORDERS[0], weight: float = 0.5, vectors: DataFrame | None = None) -> DataFrame:
+def recommend(model: Model, manuscripts: DataFrame, k: int = 10, order: tuple[str, ...] = ORDERS[0], weight: float = 0.5, vectors: DataFrame | None = None, metadata: DataFrame | None = None, key: str = "issn") -> DataFrame:
     """(query_id, rank, doc_id, tfidf, dense, score, quality, final), the k best journals of each manuscript.
 
     Journals without a quality come last. Manuscripts without a word of the vocabulary rank by quality alone.
+    metadata: rows about journals under key; see described(). Pairs are all made only where vectors give each a score.
     """
     if not 1 <= k <= 150:
         raise ValueError("k must be from 1 to 150")
     if tuple(order) not in ORDERS:
         raise ValueError(f"order must be a permutation of {DIMENSIONS}")
     quality = model.quality.select("doc_id", F.col(f"topsis_{ORDERS.index(tuple(order)) + 1}").alias("quality"))
-    final = retrieval.with_quality(thematic(model, manuscripts, vectors), quality, weight)
-    return retrieval.top(final, k, "final").select("query_id", "rank", "doc_id", "tfidf", "dense", "score", "quality", "final")
+    if model.dense is None or vectors is None:
+        queries, scores = _cosines(model, manuscripts)
+        fused = scores.withColumn("score", retrieval.fuse(F.col("score"), F.lit(0.0), model.alpha))
+        best = retrieval.quality_top(fused, queries, model.weights.select(F.col("id").alias("doc_id")), quality, k, weight)
+        best = best.join(scores.withColumnRenamed("score", "tfidf"), ["query_id", "doc_id"], "left").fillna(0.0, ["tfidf"]).withColumn("dense", F.lit(0.0))
+    else:
+        final = retrieval.with_quality(thematic(model, manuscripts, vectors), quality, weight)
+        best = retrieval.top(final.withColumn("final", F.round("final", 12)), k, "final")
+    best = best.select("query_id", "rank", "doc_id", "tfidf", "dense", "score", "quality", "final")
+    return best if metadata is None else described(best, metadata, key)
+
+
+def described(ranked: DataFrame, metadata: DataFrame, key: str = "issn") -> DataFrame:
+    """ranked with the columns of metadata (title, fee, weeks, quartile or others), one row for each journal.
+
+    Of several rows with one key the least by all columns is taken; journals without a row have nulls. Columns that
+    ranked has already keep its values.
+    """
+    own = [c for c in metadata.columns if c != key and c not in ranked.columns]
+    one = metadata.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__key")).agg(F.min(F.struct(*own)).alias("__row")) if own else None
+    return ranked if one is None else ranked.join(one, ranked["doc_id"] == one["__key"], "left").select(*ranked.columns, *(F.col(f"__row.`{c}`").alias(c) for c in own))
 
 
 def compare(model: Model, journal: str, k: int = 10, order: tuple[str, ...] | None = None) -> DataFrame:
     """The k journals most like one, itself left out; with an order quality counts half."""
     own = model.weights.where(F.col("id") == journal)
-    pairs = retrieval.all_pairs(retrieval.cosine(own, model.weights), own.select(F.col("id").alias("query_id")), model.weights.select(F.col("id").alias("doc_id"))).where("doc_id <> query_id")
+    others = model.weights.where(F.col("id") != journal)
+    sides = retrieval.cosine(own, others), own.select(F.col("id").alias("query_id")), others.select(F.col("id").alias("doc_id"))
     if order is None:
-        return retrieval.top(pairs, k)
+        return retrieval.top_of_all(*sides, k)
     quality = model.quality.select("doc_id", F.col(f"topsis_{ORDERS.index(tuple(order)) + 1}").alias("quality"))
-    return retrieval.top(retrieval.with_quality(pairs, quality), k, "final")
+    return retrieval.quality_top(*sides, quality, k)

@@ -8,6 +8,7 @@ from inkwell.functions import text
 from inkwell.operators import articles, corpus, evaluate, retrieval, topsis
 from inkwell.plans.registered import query, t
 from inkwell.plans.scalar_queries import PREPROCESSED, TITLE_SQL
+from inkwell.staging import stored
 
 ORDERS = [("quality", "cost", "efficiency"), ("cost", "efficiency", "quality")]
 
@@ -74,18 +75,19 @@ def _topsis_sql(order) -> str:
 
 def _journal_terms(spark, sf):
     """Terms of each source: counted per document, so no journal's whole text is ever one value."""
-    d = t(spark, sf, "documents").select("source", text.preprocess(F.col("text")).alias("p"))
-    # Several steps read the counts; kept, they are counted once. They spill to disk where memory is short.
-    return retrieval.terms(d, "source", "p").persist(), d.select(F.col("source")).distinct()
+    d = t(spark, sf, "documents").select("source", "text")
+    # Several steps read the counts; stored, they are counted once.
+    return stored(retrieval.prepared_terms(d, "source", "text")), d.select("source").distinct()
 
 
 def _scores(spark, sf):
+    """(scores, queries, documents): the cosines of the pairs that share a term, and the ids of either side."""
     terms, journals = _journal_terms(spark, sf)
     idf = retrieval.fit_idf(terms, journals)
-    b = t(spark, sf, "benchmark").select("item_id", text.preprocess(F.col("text")).alias("p"))
-    queries = retrieval.weigh(retrieval.terms(b, "item_id", "p"), idf)
-    scores = retrieval.cosine(queries, retrieval.weigh(terms, idf))
-    return retrieval.all_pairs(scores, b.select(F.col("item_id").alias("query_id")), journals.select(F.col("source").alias("doc_id"))).withColumn("score", F.round("score", 9))
+    b = t(spark, sf, "benchmark").select("item_id", "text")
+    queries = retrieval.weigh(retrieval.prepared_terms(b, "item_id", "text"), idf)
+    scores = retrieval.cosine(queries, retrieval.weigh(terms, idf)).withColumn("score", F.round("score", 9))
+    return scores, b.select(F.col("item_id").alias("query_id")), journals.select(F.col("source").alias("doc_id"))
 
 
 def _metrics(spark, sf):
@@ -107,7 +109,7 @@ def tfidf_terms(spark, sf):
 
 @query(f"{TERMS} SELECT query_id, doc_id, CAST(k AS INTEGER) AS rank, round(score, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS k FROM every) WHERE k <= 5")
 def tfidf_cosine_topk(spark, sf):
-    return retrieval.top(_scores(spark, sf), 5).select("query_id", "doc_id", "rank", F.round("score", 6).alias("score"))
+    return retrieval.top_of_all(*_scores(spark, sf), 5).select("query_id", "doc_id", "rank", F.round("score", 6).alias("score"))
 
 
 @query(f"{TERMS} SELECT a.id AS query_id, b.id AS doc_id, round(sum(a.weight * b.weight), 6) AS score FROM d a JOIN d b ON a.term = b.term AND a.id <> b.id GROUP BY 1, 2")
@@ -119,17 +121,16 @@ def journal_similarity(spark, sf):
 
 @query("SELECT query_id, vec_id, rank, round(score, 6) AS score FROM (SELECT a.vec_id AS query_id, b.vec_id, round(list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) / (sqrt(list_dot_product(a.embedding::DOUBLE[], a.embedding::DOUBLE[])) * sqrt(list_dot_product(b.embedding::DOUBLE[], b.embedding::DOUBLE[]))), 9) AS score, CAST(row_number() OVER (PARTITION BY a.vec_id ORDER BY round(list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) / (sqrt(list_dot_product(a.embedding::DOUBLE[], a.embedding::DOUBLE[])) * sqrt(list_dot_product(b.embedding::DOUBLE[], b.embedding::DOUBLE[]))), 9) DESC, b.vec_id) AS INTEGER) AS rank FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id AND a.vec_id % 20 = 0) WHERE rank <= 5")
 def dense_cosine_topk(spark, sf):
-    """Stated queries, the ids divisible by 20, against all rows: exact, for few queries."""
-    e = t(spark, sf, "embeddings").select("vec_id", "embedding")
-    q = e.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"))
-    scored = e.join(q, F.col("query_id") != F.col("vec_id")).select("query_id", "vec_id", F.round(retrieval.dense_cosine(F.col("q"), F.col("embedding")), 9).alias("score"))
-    return retrieval.top(scored, 5, id_col="vec_id").select("query_id", "vec_id", "rank", F.round("score", 6).alias("score"))
+    """Stated queries, the ids divisible by 20, against all rows, block by block."""
+    e = t(spark, sf, "embeddings").select(F.col("vec_id").alias("doc_id"), F.col("embedding").alias("vector"))
+    found = retrieval.dense_top(e.where("doc_id % 20 = 0").withColumnRenamed("doc_id", "query_id"), e, 5)
+    return found.select("query_id", F.col("doc_id").alias("vec_id"), "rank", F.round("score", 6).alias("score"))
 
 
 @query(f"{TERMS} SELECT query_id, doc_id, CAST(k AS INTEGER) AS rank, round(fused, 6) AS fused FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY fused DESC, doc_id) AS k FROM (SELECT query_id, doc_id, round(0.8::DOUBLE * score + 0.2::DOUBLE * (query_id % 7 + length(doc_id)) / 20, 9) AS fused FROM every)) WHERE k <= 3")
 def thematic_fused_topk(spark, sf):
-    dense = (F.col("query_id") % 7 + F.length("doc_id")) / 20
-    fused = _scores(spark, sf).select("query_id", "doc_id", F.round(retrieval.fuse(F.col("score"), dense, 0.8), 9).alias("fused"))
+    dense = (F.col("query_id") % 7 + F.length("doc_id")) / 20  # a second score that every pair has
+    fused = retrieval.all_pairs(*_scores(spark, sf)).select("query_id", "doc_id", F.round(retrieval.fuse(F.col("score"), dense, 0.8), 9).alias("fused"))
     return retrieval.top(fused, 3, "fused").select("query_id", "doc_id", "rank", F.round("fused", 6).alias("fused"))
 
 
@@ -151,13 +152,12 @@ def topsis_all_orders(spark, sf):
 def quality_thematic_topk(spark, sf):
     """The recommendation: thematic similarity and the quality-cost index, half and half."""
     quality = _quality(spark, sf, ORDERS[:1]).select("doc_id", F.col("topsis_1").alias("quality"))
-    final = retrieval.with_quality(_scores(spark, sf), quality).withColumn("final", F.round("final", 8))
-    return retrieval.top(final, 10, "final").select("query_id", "doc_id", "rank", F.round("final", 6).alias("final"))
+    return retrieval.quality_top(*_scores(spark, sf), quality, 10, digits=8).select("query_id", "doc_id", "rank", F.round("final", 6).alias("final"))
 
 
 @query(f"{TERMS}, r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS k FROM every), e AS (SELECT *, CASE WHEN right(doc_id, 1) <> '7' THEN left(doc_id, 4) END AS entity FROM r WHERE k <= 15), c AS (SELECT *, row_number() OVER (PARTITION BY query_id, coalesce(entity, doc_id || '!') ORDER BY k) AS n FROM e) SELECT query_id, doc_id, entity, CAST(rank AS INTEGER) AS rank FROM (SELECT query_id, doc_id, entity, row_number() OVER (PARTITION BY query_id ORDER BY k) AS rank FROM c WHERE n = 1) WHERE rank <= 5")
 def topn_collapse(spark, sf):
-    ranked = retrieval.top(_scores(spark, sf), 15).withColumn("entity", F.expr("CASE WHEN right(doc_id, 1) <> '7' THEN left(doc_id, 4) END"))
+    ranked = retrieval.top_of_all(*_scores(spark, sf), 15).withColumn("entity", F.expr("CASE WHEN right(doc_id, 1) <> '7' THEN left(doc_id, 4) END"))
     return retrieval.collapse(ranked, "entity", 5).select("query_id", "doc_id", "entity", "rank")
 
 
