@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from inkwell.functions import catalogue, flags, identifiers, numbers, text
+from inkwell.functions import catalogue, display, flags, identifiers, numbers, text
 from inkwell.operators.similarity import partial_ratio, ratio, wratio
 
 
@@ -85,3 +85,14 @@ def test_similarity():
     assert wratio("", "x") == 0.0
     # one shared word decides where lengths differ by half and more
     assert wratio("salud", "salud publica mundial") == pytest.approx(90.0)
+
+
+def test_display(spark):
+    df = spark.createDataFrame([(1234567.5, "x", None, 4.0), (None, "x", "~ USD ", 8.7), (None, None, "1 UVT", 26.07), (3.0, "sin_costo", None, None)], "usd double, status string, said string, weeks double")
+    c = F.col
+    assert [r[0] for r in df.select(display.fee(c("usd"), c("status"), c("said"))).collect()] == ["USD 1.234.568", "N/D", "1 UVT", "Sin costo"]
+    assert [r[0] for r in df.select(display.duration(c("weeks"), F.lit(None).cast("string"))).collect()] == ["4 semanas", "~2 meses", "~6 meses", "N/D"]
+    assert [r[0] for r in df.select(display.number(c("weeks"))).collect()] == ["4", "8.7", "26.1", "N/D"]
+    assert [r[0] for r in df.select(display.percent(c("weeks") / 8)).collect()] == [50.0, 100.0, 100.0, 0.0]
+    row = df.limit(1).select(display.score(F.lit(0.5)), display.issn_label(F.lit(None).cast("string"), F.lit("0124-5376")), display.origin(F.lit("etl")), display.origin(F.lit("z"))).first()
+    assert list(row) == ["0.500", "ISSN-E 0124-5376 · ISSN-P N/D", "Publindex / ETL", "z"]

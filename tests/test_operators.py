@@ -2,7 +2,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from inkwell.operators import articles, catalogue, evaluate, features, impute, resolve, topsis, upsert
+from inkwell.functions.text import preprocess
+from inkwell.operators import articles, catalogue, evaluate, features, impute, resolve, retrieval, topsis, upsert
 
 
 def test_outliers_golden(spark):
@@ -114,3 +115,57 @@ def test_articles(spark):
     assert [(r["id"], r["language"], r["how"]) for r in got] == [(1, "en", "marcadores"), (1, "es", "marcadores"), (3, "desconocido", "respaldo_sin_marcadores")]
     assert got[1]["title"] == "Un título bastante largo de prueba" and got[1]["keywords"] == "redes, datos"
     assert articles.normalize(articles.extract(df, "id", "text", "issn")).where(F.col("n_tokens") > 0).count() == 3
+
+
+def test_best_without_all_pairs(spark):
+    """The k best of matching pairs and fillers are the k best of the whole product, ties and missing qualities included."""
+    rng = np.random.default_rng(3)
+    pairs = {(int(q), f"d{int(d):02}"): float(s) for q, d, s in zip(rng.integers(0, 12, 90), rng.integers(0, 30, 90), rng.integers(0, 4, 90) / 4)}
+    pairs |= {(12, f"d{d:02}"): 0.5 for d in range(30)}  # flat, and no pair lacks a score
+    scores = spark.createDataFrame([(q, d, s) for (q, d), s in pairs.items()], "query_id long, doc_id string, score double")
+    queries = spark.range(15).withColumnRenamed("id", "query_id")
+    documents = spark.createDataFrame([(f"d{d:02}",) for d in range(30)], "doc_id string")
+    quality = spark.createDataFrame([(f"d{d:02}", None if d % 7 == 3 else (d * 5 % 8) / 8) for d in range(28)], "doc_id string, quality double")
+    rows = lambda df, c: sorted((r["query_id"], r["rank"], r["doc_id"], r[c]) for r in df.collect())
+    for k in (1, 4, 40):
+        every = retrieval.all_pairs(scores, queries, documents)
+        assert rows(retrieval.top_of_all(scores, queries, documents, k), "score") == rows(retrieval.top(every, k), "score")
+        final = retrieval.with_quality(every, quality).withColumn("final", F.round("final", 12))
+        assert [x[:3] for x in rows(retrieval.quality_top(scores, queries, documents, quality, k), "final")] == [x[:3] for x in rows(retrieval.top(final, k, "final"), "final")]
+    empty = scores.limit(0)
+    assert retrieval.top_of_all(empty, queries, documents, 2).count() == 30 and retrieval.top_of_all(empty, queries, documents.limit(0), 2).count() == 0
+
+
+def test_dense_top_against_numpy(spark):
+    v = np.random.default_rng(4).normal(size=(50, 6))
+    v[7] = 0
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "doc_id long, vector array<double>")
+    got = retrieval.dense_top(df.where("doc_id < 10").withColumnRenamed("doc_id", "query_id"), df, 3, block=7)
+    n = np.linalg.norm(v, axis=1)
+    cos = np.round(np.divide(v @ v.T, np.outer(n, n), out=np.zeros((50, 50)), where=np.outer(n, n) > 0), 9)
+    want = {q: sorted((d for d in range(50) if d != q), key=lambda d: (-cos[q, d], d))[:3] for q in range(10)}
+    found = {q: [d for _, d in sorted((r["rank"], r["doc_id"]) for r in got.collect() if r["query_id"] == q)] for q in range(10)}
+    assert found == want
+
+
+def test_prepared_terms(spark):
+    texts = spark.createDataFrame([(1, "Redes neuronales co-authoring -datos- $x$ redes a b2b"), (1, "las redes"), (2, None), (3, "")], "id long, text string")
+    want = retrieval.terms(texts.select("id", preprocess(F.col("text")).alias("p")), "id", "p")
+    assert sorted(map(tuple, retrieval.prepared_terms(texts, "id", "text").collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_split_share(spark):
+    ids = spark.range(1003)
+    out = evaluate.split(ids, "id")
+    first = {r[0] for r in ids.orderBy(F.xxhash64(F.lit(42), "id"), "id").limit(201).collect()}
+    assert {r["id"] for r in out.where("test").collect()} == first and out.count() == 1003
+    assert evaluate.split(ids.limit(0), "id").count() == 0 and evaluate.split(ids.limit(1), "id").first()["test"]
+    assert evaluate.split(spark.createDataFrame([(None,)], "id string"), "id").first()["test"]
+
+
+def test_medians_of_strata_with_nulls(spark):
+    df = spark.createDataFrame([("x", 1.0), ("x", 3.0), ("x", None), (None, 10.0), (None, None), ("z", None)], "g string, y double")
+    got = impute.impute(df, "y", [], [], [["g"], []])
+    assert sorted((str(r["g"]), r["y"]) for r in got.where("imputed").collect()) == [("None", 10.0), ("x", 2.0), ("z", 3.0)]
+    bare = impute.impute(df.limit(0), "y", [], [], [["g"], []])
+    assert bare.count() == 0

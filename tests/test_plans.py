@@ -60,6 +60,9 @@ def test_recommend_save_load(spark, tmp_path):
     assert got[1, 1] == "a" and got[1, 3] == "c" and got[2, 1] == "b"
     assert model.info().first()["journals"] == 3
     assert [r["doc_id"] for r in recommend.compare(model, "a", 2).collect()] == ["b", "c"]
+    about = spark.createDataFrame([("a", "Revista A", 1.0), ("a", "Revista A, otra vez", 2.0), (None, "sin", 0.0)], "issn string, title string, score double")
+    named = {(r["query_id"], r["doc_id"]): r["title"] for r in recommend.recommend(model, manuscripts, 3, weight=0.2, metadata=about).collect()}
+    assert named[1, "a"] == "Revista A" and named[1, "b"] is None and len(named) == 6
     with pytest.raises(ValueError):
         recommend.recommend(model, manuscripts, 0)
 
