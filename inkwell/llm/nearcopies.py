@@ -10,15 +10,16 @@ common lines make no candidates; a wrong guess costs time and never a pair.
 
 Equal texts are one class throughout. Classes are joined first to a few members
 of each group of candidates, while that leaves clearly fewer pairs in different
-components; then each of those is verified. So a large group of near copies is not
-expanded into its pairs. Before texts meet, a pair is tried on sketches of 512 bits:
-each bit is the parity of the members that fall on it, so two sets differ in as many
-members as bits at least, and a pair that differs in too many is discarded for sure.
+components; then each of those is tried, the nearest of every component before the
+rest. So a large group of near copies is not expanded into its pairs. A pair is tried
+on sketches of 512 bits, where its members meet and before its texts do: each bit is
+the parity of the members that fall on it, so two sets differ in as many members as
+bits at least, and a pair that differs in too many is discarded for sure.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -154,29 +155,41 @@ def _fit(n: str, m: str, at: str, by: str) -> Column:
     return (9 * both >= 4 * (F.col(n) + F.col(m))) & (5 * F.least(n, m) >= 4 * F.greatest(n, m))
 
 
-def _crossing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, c, n, at, root) sorted by key to the pairs of classes of a key in different components that can be alike."""
+def _crossing(nearest: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows (key, c, n, at, root, b0, ... b7) sorted by key to the pairs of classes of a key in different components that can be alike, by their sketches too.
+
+    nearest: of a class's pairs with one component only that of the least distance of sketches.
+    """
 
     def pairs(x: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for i in range(len(x) - 1):
-            _, c, n, at, root = x[i]
+            _, c, n, at, root = x[i, :5]
             y = x[i + 1 :]
             both = np.minimum(n - at, y[:, 2] - y[:, 3])
             y = y[(y[:, 4] != root) & (9 * both >= 4 * (n + y[:, 2])) & (5 * np.minimum(n, y[:, 2]) >= 4 * np.maximum(n, y[:, 2]))]
+            differ = np.bitwise_count((y[:, 5:] ^ x[i, 5:]).view(np.uint64)).sum(axis=1, dtype=np.int64)
+            likely = 9 * differ <= n + y[:, 2]
+            y, differ = y[likely], differ[likely]
+            if nearest and len(y) > 1:
+                y = y[np.lexsort((differ, y[:, 4]))]
+                y = y[np.r_[True, y[1:, 4] != y[:-1, 4]]]
             if len(y):
                 yield np.minimum(y[:, 1], c), np.maximum(y[:, 1], c)
 
-    def groups() -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        held = np.empty((0, 5), np.int64)
-        for b in batches:
-            held = np.concatenate([held, np.stack([x.to_numpy().astype(np.int64) for x in b.columns], axis=1)])
-            starts = np.flatnonzero(np.r_[True, held[1:, 0] != held[:-1, 0]]) if len(held) else np.empty(0, np.int64)
-            for s, e in zip(starts[:-1], starts[1:]):
-                yield from pairs(held[s:e])
-            held = held[starts[-1] :] if len(starts) else held
-        yield from pairs(held)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def groups() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            held = np.empty((0, 5 + SKETCH), np.int64)
+            for b in batches:
+                held = np.concatenate([held, np.stack([x.to_numpy().astype(np.int64) for x in b.columns], axis=1)])
+                starts = np.flatnonzero(np.r_[True, held[1:, 0] != held[:-1, 0]]) if len(held) else np.empty(0, np.int64)
+                for s, e in zip(starts[:-1], starts[1:]):
+                    yield from pairs(held[s:e])
+                held = held[starts[-1] :] if len(starts) else held
+            yield from pairs(held)
+
+        yield from _batches(groups(), ["a", "b"])
 
-    yield from _batches(groups(), ["a", "b"])
+    return run
 
 
 def _sketched(texts: DataFrame) -> DataFrame:
@@ -255,7 +268,12 @@ def joined(texts: DataFrame) -> DataFrame:
         met = met.where("root <> other").where(_fit("n", "m", "at", "by"))
         turn += 1
         connect(cut(met.select(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b")).distinct()))
-    connect(cut(rows.repartition("key").sortWithinPartitions("key").mapInArrow(_crossing, "a long, b long").distinct()))
+    # First each class with the nearest of every other component, then all that are still apart: a member to be joined does not meet the whole of its group.
+    marks = sketches.select("c", *(f"b{i}" for i in range(SKETCH)))
+    for nearest in (True, False):
+        rows = rows if nearest else cut(labelled())
+        marked = rows.join(small(marks, 96), "c").select("key", "c", "n", "at", "root", *marks.columns[1:])
+        connect(cut(marked.repartition("key").sortWithinPartitions("key").mapInArrow(_crossing(nearest), "a long, b long").distinct()))
     return found if found is not None else texts.sparkSession.createDataFrame([], "c long, root long")
 
 

@@ -137,6 +137,40 @@ def test_near_copies_against_brute_force(spark):
     assert nearcopies.representatives(docs.limit(0)).count() == 0
 
 
+def test_large_group_is_not_expanded_into_pairs(spark, monkeypatch):
+    """Near copies of one text, alike in part: those still apart after the hubs meet the nearest of each component, not all its members."""
+    rng, made = random.Random(12), []
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
+    base, texts = [word() for _ in range(120)], set()
+    while len(texts) < 500:
+        t = list(base)
+        for at in rng.sample(range(120), rng.choice([2, 3, 4])):
+            t[at] = word()
+        texts.add(" ".join(t))
+    verified = nearcopies._verified
+
+    def counted(pairs, *rest):
+        made.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(nearcopies, "_verified", counted)
+    df = spark.createDataFrame([(t,) for t in sorted(texts)], "text string").select(nearcopies.text_class(F.col("text")).alias("c"), "text")
+    groups = df.join(nearcopies.joined(df), "c", "left").groupBy(F.coalesce("root", "c")).agg(F.collect_list("text")).collect()
+    texts, seen, left = sorted(texts), set(), set(texts)
+    runs = {t: five_word_runs(t) for t in texts}
+    want = []
+    while left:
+        group, todo = set(), [left.pop()]
+        while todo:
+            group.add(x := todo.pop())
+            near = {y for y in left if 5 * len(runs[x] & runs[y]) >= 4 * len(runs[x] | runs[y])}
+            left -= near
+            todo += near
+        want.append(sorted(group))
+    assert sorted(sorted(g[1]) for g in groups) == sorted(want)
+    assert sum(made[-2:]) < 10 * len(texts)
+
+
 def test_stage_drops_near_copies_beyond_four_bits(spark, sf):
     rng = random.Random(8)
     base = ["".join(rng.choice("abcdefgh") for _ in range(4)) for _ in range(100)]
