@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from inkwell.functions.text import clean_scientific, is_content, stem
 
 #: Tokens of the vectorizer: a word character, then word characters and hyphens.
 TOKEN = r"(?U)\b\w[\w-]+\b"
+#: Queries that meet a block of documents in one product of matrices.
+STEP = 128
 
 
 def terms(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -79,18 +85,120 @@ def dense_cosine(a: Column, b: Column) -> Column:
     return F.when(length > 0, dot(a, b) / length).otherwise(0.0)
 
 
+def _widths(column: pa.ChunkedArray) -> tuple[np.ndarray, dict[int, tuple[np.ndarray, np.ndarray]]]:
+    """The width of every vector, -1 for null ones and those that hold a null; and of each other width the place of every vector in a matrix, and that."""
+    lists = column.combine_chunks()
+    flat, size = lists.flatten(), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    width = np.where(lists.is_null().to_numpy(zero_copy_only=False), -1, size)
+    if flat.null_count:
+        width[np.unique(np.repeat(np.arange(len(size)), size)[flat.is_null().to_numpy(zero_copy_only=False)])] = -1
+    flat, start = flat.to_numpy(zero_copy_only=False).astype(np.float64), np.cumsum(size) - size
+    found = {}
+    for m in np.unique(width[width >= 0]).tolist():
+        rows, place = np.flatnonzero(width == m), np.zeros(len(width), np.int64)
+        place[rows] = np.arange(len(rows))
+        found[m] = (place, flat[start[rows][:, None] + np.arange(m)])
+    return width, found
+
+
+def _dots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """dot() of vectors along the last axis, summed in the same order."""
+    out = np.zeros(np.broadcast_shapes(a.shape[:-1], b.shape[:-1]))
+    for i in range(a.shape[-1]):
+        out = out + a[..., i] * b[..., i]
+    return out
+
+
+def _exact(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """dense_cosine() of vectors along the last axis."""
+    length = np.sqrt(_dots(x, x)) * np.sqrt(_dots(y, y))
+    return np.where((length > 0) | np.isnan(length), _dots(x, y) / np.where(length == 0, 1, length), 0.0)
+
+
+def _best(query: pa.Table, documents: pa.Table, k: int, margin: float) -> pa.Table:
+    """(query_id, doc_id, score) of one block of queries and one of documents: all that can be among the k best of a query once scores are rounded by less than margin.
+
+    Products of unit vectors, by matrices, choose; what they choose is scored as dense_cosine() does. Of documents with the
+    same score only the k smallest ids are left.
+    """
+    documents = documents.sort_by("doc_id")
+    qid, cid = (t[x].to_numpy() for t, x in ((query, "query_id"), (documents, "doc_id")))
+    (q_width, q_of), (c_width, c_of) = _widths(query["q"]), _widths(documents["d"])
+    out = []
+
+    def unit(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        length = np.sqrt((x * x).sum(axis=1))
+        plain = (length > 1e-100) & (length < 1e100)
+        return x / np.where(plain, length, 1)[:, None], np.flatnonzero(~plain)
+
+    units = {m: unit(x) for m, (_, x) in c_of.items()}
+    for at in range(0, len(qid), STEP):
+        here = np.arange(at, min(at + STEP, len(qid)))
+        near = np.zeros((len(here), len(cid)))  # -inf stands for null
+        for m, (place, x) in q_of.items():
+            rows = np.flatnonzero(q_width[here] == m)
+            if not len(rows):
+                continue
+            x = x[place[here[rows]]]
+            x_unit, x_odd = unit(x)
+            for n, (_, y) in c_of.items():
+                columns = np.flatnonzero(c_width == n)
+                if n != m:
+                    length = np.sqrt(_dots(x, x))[:, None] * np.sqrt(_dots(y, y))
+                    near[np.ix_(rows, columns)] = np.where((length > 0) | np.isnan(length), -np.inf, 0.0)
+                    continue
+                y_unit, y_odd = units[n]
+                part = x_unit @ y_unit.T
+                part[x_odd] = [_exact(v, y) for v in x[x_odd]] if len(x_odd) else part[x_odd]
+                for j in y_odd:
+                    part[:, j] = _exact(x, y[j])
+                near[np.ix_(rows, columns)] = part
+        near[np.isnan(near)] = np.inf  # NaN is the largest
+        own = qid[here][:, None] == cid[None, :]
+        near[own] = -np.inf
+        least = np.partition(near, max(0, len(cid) - k), axis=1)[:, max(0, len(cid) - k)]
+        r, c = np.nonzero((near >= (least - margin)[:, None]) & ~own)
+        score = near[r, c]
+        for m in q_of.keys() & c_of.keys():
+            pairs = np.flatnonzero((q_width[here[r]] == m) & (c_width[c] == m))
+            for a in range(0, len(pairs), 1 << 16):
+                p = pairs[a : a + (1 << 16)]
+                score[p] = _exact(q_of[m][1][q_of[m][0][here[r[p]]]], c_of[m][1][c_of[m][0][c[p]]])
+        value = np.where(np.isnan(score), np.inf, score)
+        order = np.lexsort((c, -value, r))
+        r, c, score, value = r[order], c[order], score[order], value[order]
+        first = np.flatnonzero(np.r_[True, (r[1:] != r[:-1]) | (value[1:] != value[:-1])]) if len(r) else np.empty(0, np.int64)
+        kept = np.arange(len(r)) - np.repeat(first, np.diff(np.r_[first, len(r)])) < k
+        out.append((here[r[kept]], c[kept], score[kept]))
+    q, c, score = (np.concatenate(x) for x in zip(*out))
+    return pa.table([query["query_id"].take(pa.array(q)), documents["doc_id"].take(pa.array(c)), pa.array(score, mask=score == -np.inf)], ["query_id", "doc_id", "score"])
+
+
 def dense_top(queries: DataFrame, documents: DataFrame, k: int, digits: int = 9, block: int = 1 << 14) -> DataFrame:
-    """The k documents (doc_id, vector) of the largest cosine for each query (query_id, vector), itself left out: exact, for few stated queries.
+    """The k documents (doc_id, vector) of the largest cosine for each query (query_id, vector), itself left out: exact.
 
-    Documents are dealt into blocks of about `block`, each of which meets the queries once; lengths are taken once for a
-    vector. Scores are rounded before they are ranked; vectors without a length score 0.
+    Queries and documents are dealt into blocks of about `block`, and each block of one meets each of the other once, by
+    products of matrices; of a meeting only what can be among the k best leaves its task. Scores are rounded before they
+    are ranked; vectors without a length score 0, and those of different widths null.
     """
-    blocks = max(1, -(-documents.count() // block))
-    d = documents.select("doc_id", F.col("vector").alias("d"), F.sqrt(dot(F.col("vector"), F.col("vector"))).alias("d_length"), F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).alias("block"))
-    q = queries.select("query_id", F.col("vector").alias("q"), F.sqrt(dot(F.col("vector"), F.col("vector"))).alias("q_length"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"))
-    length = F.col("q_length") * F.col("d_length")
-    score = F.when(length > 0, dot(F.col("q"), F.col("d")) / length).otherwise(0.0)
-    return top(q.join(d, "block").where("query_id <> doc_id").select("query_id", "doc_id", F.round(score, digits).alias("score")), k)
+    q = queries.select("query_id", F.col("vector").cast("array<double>").alias("q")).where("query_id IS NOT NULL")
+    d = documents.select("doc_id", F.col("vector").cast("array<double>").alias("d")).where("doc_id IS NOT NULL")
+    of_q, of_d = (max(1, -(-x.count() // block)) for x in (q, d))
+    part = lambda id_col, n: F.pmod(F.xxhash64(id_col), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = q.select("query_id", "q", part("query_id", of_q).alias("qb"), every(of_d).alias("db"))
+    right = d.select("doc_id", "d", part("doc_id", of_d).alias("db"), every(of_q).alias("qb"))
+    schema = StructType([q.schema["query_id"], d.schema["doc_id"], StructField("score", DoubleType())])
+    margin = 2 * 10.0**-digits + 1e-12
+
+    def meet(some: pa.Table, others: pa.Table) -> pa.Table:
+        if not len(some) or not len(others):
+            return pa.table([some["query_id"].slice(0, 0), others["doc_id"].slice(0, 0), pa.array([], pa.float64())], ["query_id", "doc_id", "score"])
+        with np.errstate(all="ignore"):
+            return _best(some, others, k, margin)
+
+    met = left.groupBy("qb", "db").cogroup(right.groupBy("qb", "db")).applyInArrow(meet, schema)
+    return top(met.select("query_id", "doc_id", F.round("score", digits).alias("score")), k)
 
 
 def fuse(tfidf: Column, dense: Column, alpha: float) -> Column:

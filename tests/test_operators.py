@@ -148,6 +148,37 @@ def test_dense_top_against_numpy(spark):
     assert found == want
 
 
+def plain_dense_top(queries, documents, k):
+    """Every pair, by column expressions."""
+    q, d = queries.withColumnRenamed("vector", "q"), documents.withColumnRenamed("vector", "d")
+    score = F.round(retrieval.dense_cosine(F.col("q"), F.col("d")), 9)
+    return retrieval.top(q.join(d, F.expr("query_id <> doc_id")).select("query_id", "doc_id", score.alias("score")), k)
+
+
+def test_dense_top_of_odd_vectors(spark):
+    """Nulls, other widths, no length, huge and tiny ones, copies and repeated ids score as the column expressions do."""
+    v = np.random.default_rng(5).normal(size=(40, 4)).tolist()
+    odd = [None, [], [0.0] * 4, [1.0, None, 0.0, 0.0], [float("nan"), 1.0, 0.0, 0.0], [float("inf"), 1.0, 0.0, 0.0], [1e200] * 4, [1e-200] * 4, [1e-160, 0.0, 0.0, 1e-170], [1.0, 2.0], [0.0, 0.0], v[3], v[3], v[3]]
+    rows = list(enumerate(v + odd)) + [(3, v[3]), (None, v[3]), (41, v[1])]
+    df = spark.createDataFrame(rows, "doc_id long, vector array<double>")
+    queries = df.withColumnRenamed("doc_id", "query_id")
+    for k, block in ((3, 7), (60, 1 << 14)):
+        got, want = (sorted(str((r["query_id"], r["rank"], r["score"], r["doc_id"])) for r in x.collect()) for x in (retrieval.dense_top(queries, df, k, block=block), plain_dense_top(queries, df, k)))
+        assert got == want
+    names = df.select(F.col("doc_id").cast("string").alias("doc_id"), "vector")
+    got, want = (sorted(str(tuple(r)) for r in x.collect()) for x in (retrieval.dense_top(names.withColumnRenamed("doc_id", "query_id"), names, 4), plain_dense_top(names.withColumnRenamed("doc_id", "query_id"), names, 4)))
+    assert got == want
+    assert retrieval.dense_top(queries.limit(0), df, 3).count() == retrieval.dense_top(queries, df.limit(0), 3).count() == 0
+
+
+def test_dense_top_does_not_send_all_pairs(spark):
+    df = spark.range(400).select(F.col("id").alias("doc_id"), F.array(F.sin("id"), F.cos("id"), F.sin(F.col("id") * F.col("id"))).alias("vector"))
+    out = retrieval.dense_top(df.withColumnRenamed("doc_id", "query_id"), df, 5, block=100)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "ProductJoin" not in plan and "NestedLoop" not in plan and "HashJoin" not in plan and "MergeJoin" not in plan
+    assert out.count() == 2000
+
+
 def test_prepared_terms(spark):
     texts = spark.createDataFrame([(1, "Redes neuronales co-authoring -datos- $x$ redes a b2b"), (1, "las redes"), (2, None), (3, "")], "id long, text string")
     want = retrieval.terms(texts.select("id", preprocess(F.col("text")).alias("p")), "id", "p")
