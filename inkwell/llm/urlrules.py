@@ -1,7 +1,7 @@
 """URL filters: fixed host and path rules first, then association rules mined from labels.
 
-Spark's FP-growth mines the token combinations of labelled urls that go with a bad
-label. A mined rule is kept if enough bad rows support it, if its confidence is
+FP-growth mines the token combinations of labelled urls that go with a bad label,
+of all tokens of a url; what no rule can come of is not grown. A mined rule is kept if enough bad rows support it, if its confidence is
 enough by itself and against the share of bad rows at large (their ratio, the
 lift, and the distance in standard deviations), and if no shorter kept rule whose
 tokens it contains does as well. Rules match through
@@ -11,7 +11,11 @@ the index, and a rule fires when the tokens it met are all it has.
 
 from __future__ import annotations
 
-from pyspark.ml.fpm import FPGrowth
+import math
+from itertools import chain
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,7 +26,6 @@ RULES = (
     ("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
     ("block", "net", "/es/"), ("block", "net", "/fr/"),
 )
-BAD = "\x00bad"
 
 
 def host(url: Column) -> Column:
@@ -58,44 +61,78 @@ def tokens(url: Column) -> Column:
     return F.when(url.isNull(), F.expr("cast(array() as array<string>)")).otherwise(F.array_distinct(F.concat(labels, suffixes, parts, names)))
 
 
-def baskets(labelled: DataFrame, least: int, longest: int) -> DataFrame:
-    """labelled (tokens, bad) to (items): of each row the `longest` tokens of most lift that `least` bad rows have, with BAD added to bad rows.
+def _grow(group: pa.Table, need: int) -> pa.Table:
+    """(rule, n_bad, good) of the combinations of a token t with tokens of its prefixes (t, prefix, n_bad, good) that `need` bad rows have.
 
-    So a row supports 2 ** longest combinations at most, however many frequent tokens its url has.
+    Patterns grow by one token at a time over the rows that hold them. A token that takes no good row from a pattern
+    makes it no better than the pattern without it, whatever else is added, so neither it nor what holds it is grown.
     """
-    rows = cut(labelled.where("size(tokens) > 0").select("tokens", F.coalesce("bad", F.lit(False)).alias("bad")).withColumn("row", F.expr("uuid()")))
-    each = rows.select("row", "bad", F.explode("tokens").alias("token"))
-    known = each.groupBy("token").agg(F.count_if("bad").alias("n_bad"), F.count("*").alias("n")).where(F.col("n_bad") >= least)
-    known = cut(known.select("token", (F.col("n_bad") / F.col("n")).alias("share")))
-    kept = each.join(small(known, 128), "token").groupBy("row").agg(F.sort_array(F.collect_list(F.struct((-F.col("share")).alias("s"), "token"))).alias("t"))
-    kept = kept.select("row", F.transform(F.slice("t", 1, longest), lambda x: x["token"]).alias("tokens"))
-    none = F.expr("cast(array() as array<string>)")
-    return cut(rows.select("row", "bad").join(kept, "row", "left").select(F.concat(F.coalesce("tokens", none), F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(none)).alias("items")))
-
-
-def mine(labelled: DataFrame, support: float = 0.0, confidence: float = 0.5, least: int = 20, lift: float = 1.5, deviations: float = 3.0, longest: int = 8) -> DataFrame:
+    t, prefixes = group["t"][0].as_py(), group["prefix"].to_pylist()
+    n_bad, good = (group[c].to_numpy() for c in ("n_bad", "good"))
+    names = sorted(set(chain.from_iterable(prefixes)))
+    at, has = {x: i for i, x in enumerate(names)}, np.zeros((len(names), len(prefixes)), bool)
+    for row, prefix in enumerate(prefixes):
+        has[[at[x] for x in prefix], row] = True
+    found, todo = [], [((), np.arange(len(prefixes)), range(len(names)))]
+    while todo:
+        pattern, rows, others = todo.pop()
+        left = good[rows].sum()
+        if pattern:
+            found.append((sorted([t, *(names[i] for i in pattern)]), int(n_bad[rows].sum()), int(left)))
+        more = []
+        for y in others if left else ():
+            held = rows[has[y, rows]]
+            fewer = good[held].sum()
+            if n_bad[held].sum() < need or fewer == left:
+                continue
+            if all(good[has[[y, *(z for z in pattern if z != x)]].all(axis=0)].sum() > fewer for x in pattern):
+                more.append((y, held))
+        todo += [((*pattern, y), held, [z for z, _ in more[i + 1 :]]) for i, (y, held) in enumerate(more)]
+    rule, bads, goods = zip(*found) if found else ((), (), ())
+    return pa.table([pa.array(rule, pa.list_(pa.string())), pa.array(bads, pa.int64()), pa.array(goods, pa.int64())], ["rule", "n_bad", "good"])
+
+
+def patterns(labelled: DataFrame, need: int) -> DataFrame:
+    """labelled (tokens, n_bad, good) to (rule, n_bad, good): combinations of tokens that `need` bad rows have, by FP-growth.
+
+    Each token mines, apart from the others, the distinct sets of more frequent tokens that stand beside it. Left out are
+    only combinations beside which a shorter one is as good: that as many bad rows have at least, and no more good ones.
+    """
+    each = labelled.select("n_bad", "good", F.explode("tokens").alias("token"))
+    known = cut(each.groupBy("token").agg(F.sum("n_bad").alias("n_bad"), F.sum("good").alias("good")).where(F.col("n_bad") >= need))
+    every = labelled.agg(F.sum("good")).first()[0] or 0
+    # A token without good rows can't become better, one in all good rows makes nothing better.
+    mixed = known.where((F.col("good") > 0) & (F.col("good") < every)).select("token", (F.col("n_bad") + F.col("good")).alias("rows"))
+    numbered = cut(labelled.withColumn("row", F.expr("uuid()")))
+    held = numbered.select("row", "n_bad", "good", F.explode("tokens").alias("token")).join(small(mixed, 128), "token")
+    lists = held.groupBy("row").agg(F.first("n_bad").alias("n_bad"), F.first("good").alias("good"), F.sort_array(F.collect_list(F.struct((-F.col("rows")).alias("s"), "token"))).alias("o"))
+    lists = lists.select("n_bad", "good", F.transform("o", lambda x: x["token"]).alias("o"))
+    beside = lists.select("n_bad", "good", "o", F.posexplode("o").alias("i", "t"))
+    beside = beside.groupBy("t", F.slice("o", F.lit(1), F.col("i")).alias("prefix")).agg(F.sum("n_bad").alias("n_bad"), F.sum("good").alias("good"))
+    grown = beside.groupBy("t").applyInArrow(lambda group: _grow(group, need), "rule array<string>, n_bad long, good long")
+    return known.select(F.array("token").alias("rule"), "n_bad", "good").unionByName(grown)
+
+
+def mine(labelled: DataFrame, support: float = 0.0, confidence: float = 0.5, least: int = 20, lift: float = 1.5, deviations: float = 3.0) -> DataFrame:
     """labelled (tokens, bad boolean) to rules (rule, n, confidence): sorted tokens that go with bad.
 
     A rule stands on `least` bad rows, and on bad rows that are `support` of all
     labelled rows, at least; its confidence is `confidence` and `lift` times the
-    share of bad rows at least, and `deviations` standard deviations above that
-    share for as many rows as hold its tokens. At most `longest` tokens of a row
-    are mined. Without labelled rows there are no rules.
+    share of bad rows at least, and `deviations` (not negative) standard deviations
+    above that share for as many rows as hold its tokens. All tokens of a row are
+    mined. Without labelled rows there are no rules.
     """
-    spark = labelled.sparkSession
-    none = spark.createDataFrame([], "rule array<string>, n int, confidence double")
-    items = baskets(labelled, least, longest)
-    total, bad = items.agg(F.count("*"), F.count_if(F.array_contains("items", BAD))).first()
-    if bad < least:
-        return none
-    base = bad / total
-    model = FPGrowth(itemsCol="items", minSupport=max(support, (least - 0.5) / total), minConfidence=confidence).fit(items.where("size(items) > 0"))
-    # The model's shares are of the rows with items.
-    held = items.where("size(items) > 0").count()
-    rules = model.associationRules.where(F.array_contains("consequent", BAD))
-    rows = F.col("support") * held / F.col("confidence")
+    tokens_ = F.array_sort(F.array_distinct(F.array_compact("tokens")))
+    sets = labelled.where("size(tokens) > 0").groupBy(tokens_.alias("tokens")).agg(F.count_if(F.coalesce("bad", F.lit(False))).alias("n_bad"), F.count("*").alias("n"))
+    sets = cut(sets.select("tokens", "n_bad", (F.col("n") - F.col("n_bad")).alias("good")))
+    bad, good = sets.agg(F.sum("n_bad"), F.sum("good")).first()
+    if not bad or bad < least:
+        return labelled.sparkSession.createDataFrame([], "rule array<string>, n int, confidence double")
+    base, rows = bad / (bad + good), F.col("n_bad") + F.col("good")
+    found = patterns(sets, max(least, math.ceil(support * (bad + good)))).withColumn("confidence", F.col("n_bad") / rows)
     above = (F.col("confidence") - base) * F.sqrt(rows) >= deviations * (base * (1 - base)) ** 0.5
-    rules = cut(rules.where((F.col("confidence") >= lift * base) & above).select(F.array_sort("antecedent").alias("rule"), F.size("antecedent").alias("n"), "confidence"))
+    found = found.where((F.col("confidence") >= max(confidence, lift * base)) & above)
+    rules = cut(found.select("rule", F.size("rule").alias("n"), "confidence"))
     # A rule is idle beside a shorter one with a subset of its tokens that holds as well; found through one token of the shorter.
     short = rules.select(F.col("rule").alias("r"), F.col("n").alias("m"), F.col("confidence").alias("c"), F.element_at("rule", 1).alias("t"))
     long = rules.select("rule", "n", "confidence", F.explode("rule").alias("t"))

@@ -214,6 +214,17 @@ def test_many_frequent_tokens_stay_bounded(spark):
     assert rules and all(r["n"] == 1 and r["confidence"] == 1.0 for r in rules)
 
 
+def test_rules_of_tokens_beyond_the_eighth(spark):
+    """Rows of up to 14 frequent tokens, where the pair that tells goes least with bad by each of its tokens."""
+    rng, rows = random.Random(4), []
+    for _ in range(300):
+        t = sorted(x for x in [f"p:{i:02}" for i in range(12)] if rng.random() < 0.75) + [x for x in ("q:x", "q:y") if rng.random() < 0.6]
+        rows.append((t, rng.random() < (0.95 if {"q:x", "q:y"} <= set(t) else 0.1 if {"q:x", "q:y"} & set(t) else 0.6)))
+    got = urlrules.mine(spark.createDataFrame(rows, "tokens array<string>, bad boolean"), least=40, confidence=0.5, lift=1.3, deviations=2.0)
+    want = plain_rules(rows, 40, 0.5, 1.3, 2.0)
+    assert sorted(r["rule"] for r in got.collect()) == want and ["q:x", "q:y"] in want
+
+
 def article(text, header="", cls="", outer=""):
     return f"<html><body><nav><a href=/>Start</a></nav><div class='{outer}'><article class='{cls}'>{header}<p>{text}</p></article></div><footer>Impressum</footer></body></html>"
 
