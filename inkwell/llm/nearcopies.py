@@ -1,15 +1,15 @@
 """Documents alike in their runs of words: all pairs of a Jaccard similarity of four fifths or more, without loss.
 
 Texts are compared as sets of runs of five words. SimHash fingerprints of these
-runs, linked by the operator's pivot tables, propose the first pairs; each is
-verified on its texts. No distance of 64-bit fingerprints separates a similarity
-of 0.8 from less, so what their four bits miss comes from a prefix join, which is
-exact: two sets that alike share one of the first fifth of their members, in
-whatever order all sets are sorted. Members frequent in a sample come last, so
+runs, linked by the operator's pivot tables, find all pairs within four bits; each
+is verified on its texts. No distance of 64-bit fingerprints separates a similarity
+of 0.8 from less, so pairs beyond four bits, and only those, come from a prefix join,
+which is exact: two sets that alike share one of the first fifth of their members, in
+whatever order all sets are sorted. No pair is looked for by both. Members frequent in a sample come last, so
 common lines make no candidates; a wrong guess costs time and never a pair.
 
-Equal texts are one class throughout. Classes are joined first to a few members
-of each group of candidates, while that leaves clearly fewer pairs in different
+Equal texts are one class throughout. Either way classes are joined first to a few
+members of each group of candidates, while that leaves clearly fewer pairs in different
 components; then each of those is tried, the nearest of every component before the
 rest. So a large group of near copies is not expanded into its pairs. A pair is tried
 on sketches of 512 bits, where its members meet and before its texts do: each bit is
@@ -38,6 +38,8 @@ RUN, SAMPLE, FREQUENT, STEP = 5, 4096, 1 << 18, 1 << 16
 HUBS, LEFT = 8, 4
 #: One class in so many is in the sample at least; longs of a sketch.
 SHARE, SKETCH = 16, 8
+#: Bits in which fingerprints that SimHash links differ at most: pairs within are its own, all others the prefix join's.
+BITS = 4
 ODD = np.array([pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) for k in range(RUN)], np.uint64)
 
 
@@ -155,19 +157,25 @@ def _fit(n: str, m: str, at: str, by: str) -> Column:
     return (9 * both >= 4 * (F.col(n) + F.col(m))) & (5 * F.least(n, m) >= 4 * F.greatest(n, m))
 
 
-def _crossing(nearest: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Rows (key, c, n, at, root, b0, ... b7) sorted by key to the pairs of classes of a key in different components that can be alike, by their sketches too.
+def _crossing(nearest: bool, within: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows (key, c, n, at, root, fp, b0, ... b7) sorted by key to the pairs of classes of a key in different components that can be alike, by their sketches too.
 
     nearest: of a class's pairs with one component only that of the least distance of sketches.
+    within: pairs whose fingerprints differ in BITS at most; else those that differ in more.
     """
 
     def pairs(x: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        for i in range(len(x) - 1):
-            _, c, n, at, root = x[i, :5]
+        if not len(x):
+            return
+        _, place, size = np.unique(x[:, 4], return_inverse=True, return_counts=True)
+        x = x[np.argsort(place == size.argmax(), kind="stable")]  # the largest component comes last, its members don't meet
+        for i in range(len(x) - size.max()):
+            _, c, n, at, root, fp = x[i, :6]
             y = x[i + 1 :]
             both = np.minimum(n - at, y[:, 2] - y[:, 3])
             y = y[(y[:, 4] != root) & (9 * both >= 4 * (n + y[:, 2])) & (5 * np.minimum(n, y[:, 2]) >= 4 * np.maximum(n, y[:, 2]))]
-            differ = np.bitwise_count((y[:, 5:] ^ x[i, 5:]).view(np.uint64)).sum(axis=1, dtype=np.int64)
+            y = y[(np.bitwise_count((y[:, 5] ^ fp).view(np.uint64)) <= BITS) == within]
+            differ = np.bitwise_count((y[:, 6:] ^ x[i, 6:]).view(np.uint64)).sum(axis=1, dtype=np.int64)
             likely = 9 * differ <= n + y[:, 2]
             y, differ = y[likely], differ[likely]
             if nearest and len(y) > 1:
@@ -178,7 +186,7 @@ def _crossing(nearest: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def groups() -> Iterator[tuple[np.ndarray, np.ndarray]]:
-            held = np.empty((0, 5 + SKETCH), np.int64)
+            held = np.empty((0, 6 + SKETCH), np.int64)
             for b in batches:
                 held = np.concatenate([held, np.stack([x.to_numpy().astype(np.int64) for x in b.columns], axis=1)])
                 starts = np.flatnonzero(np.r_[True, held[1:, 0] != held[:-1, 0]]) if len(held) else np.empty(0, np.int64)
@@ -237,53 +245,69 @@ def joined(texts: DataFrame) -> DataFrame:
     own = texts.join(small(wanted, 64), "c", "left_semi").join(small(several, 64), "c", "left_anti").select("c", "text")
     own = cut(own.unionByName(texts.join(small(several, 64), "c", "left_semi").select("c", "text").dropDuplicates(["c"])))
     sketches = _sketched(own)
-    found, turn, rows_in_all, last = None, 0, shared.count(), float("inf")
+    found = None
 
-    def labelled() -> DataFrame:
-        """shared with each class's root, where a key still has several roots."""
-        rows = shared.withColumn("root", F.col("c")) if found is None else shared.join(small(found, 64), "c", "left").withColumn("root", F.coalesce("root", "c"))
+    def labelled(keyed: DataFrame) -> DataFrame:
+        """keyed with each class's root and fingerprint, where a key still has several roots."""
+        names = sketches.select("c", "fp")
+        names = names.withColumn("root", F.col("c")) if found is None else names.join(small(found, 64), "c", "left").withColumn("root", F.coalesce("root", "c"))
+        rows = keyed.join(small(cut(names), 72), "c")
         open_ = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
-        return rows.join(small(open_, 48), "key", "left_semi").select("key", "c", "n", "at", "root")
+        return rows.join(small(open_, 48), "key", "left_semi").select("key", "c", "n", "at", "root", "fp")
 
-    def connect(pairs: DataFrame) -> int:
+    def connect(pairs: DataFrame) -> None:
         nonlocal found
         new = _verified(pairs, own, sketches)
-        hits = new.count()
-        if hits:
+        if new.count():
             edges = new.select(F.col("a").alias("u"), F.col("b").alias("v"))
             before = edges.limit(0) if found is None else found.select(F.col("c").alias("u"), F.col("root").alias("v"))
             found = components(edges.unionByName(before)).select(F.col("u").alias("c"), "root")
-        return hits
-
-    connect(_fingerprinted(sketches))
-    while True:
-        rows = cut(labelled())
-        each = rows.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("inside"))
-        left = each.agg(F.sum((F.col("n") * F.col("n") - F.col("inside")) / 2)).first()[0] or 0
-        if left <= LEFT * rows_in_all or 10 * left > 9 * last:
-            break
-        last = left
-        hub = rows.groupBy("key", F.pmod(F.xxhash64("c", F.lit(-1 - turn)), F.lit(HUBS))).agg(F.min(F.struct(F.xxhash64("c", F.lit(turn)).alias("h"), "c", "n", "at", "root")).alias("hub")).select("key", "hub")
-        met = rows.join(hub, "key").select("c", "n", "at", "root", F.col("hub.c").alias("d"), F.col("hub.n").alias("m"), F.col("hub.at").alias("by"), F.col("hub.root").alias("other"))
-        met = met.where("root <> other").where(_fit("n", "m", "at", "by"))
-        turn += 1
-        connect(cut(met.select(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b")).distinct()))
-    # First each class with the nearest of every other component, then all that are still apart: a member to be joined does not meet the whole of its group.
-    marks = sketches.select("c", *(f"b{i}" for i in range(SKETCH)))
-    for nearest in (True, False):
-        rows = rows if nearest else cut(labelled())
-        marked = rows.join(small(marks, 96), "c").select("key", "c", "n", "at", "root", *marks.columns[1:])
-        connect(cut(marked.repartition("key").sortWithinPartitions("key").mapInArrow(_crossing(nearest), "a long, b long").distinct()))
+
+    def closed(keyed: DataFrame, within: bool) -> None:
+        """Connect all classes alike that share a key of keyed (key, c, n, at) and whose fingerprints differ in BITS at most, or in more."""
+        turn, rows_in_all, last = 0, keyed.count(), float("inf")
+        while True:
+            rows = cut(labelled(keyed))
+            each = rows.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("inside"))
+            left = each.agg(F.sum((F.col("n") * F.col("n") - F.col("inside")) / 2)).first()[0] or 0
+            few = left <= LEFT * rows_in_all
+            if few or 10 * left > 9 * last:
+                break
+            last = left
+            hub = rows.groupBy("key", F.pmod(F.xxhash64("c", F.lit(-1 - turn)), F.lit(HUBS))).agg(F.min(F.struct(F.xxhash64("c", F.lit(turn)).alias("h"), "c", "n", "at", "root", "fp")).alias("hub")).select("key", "hub")
+            met = rows.join(hub, "key").select("c", "n", "at", "root", "fp", F.col("hub.c").alias("d"), F.col("hub.n").alias("m"), F.col("hub.at").alias("by"), F.col("hub.root").alias("other"), F.col("hub.fp").alias("mark"))
+            met = met.where("root <> other").where(_fit("n", "m", "at", "by")).where((F.bit_count(F.col("fp").bitwiseXOR(F.col("mark"))) <= BITS) == F.lit(within))
+            turn += 1
+            connect(cut(met.select(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b")).distinct()))
+        # First each class with the nearest of every other component, then all that are still apart: a member to be joined does not meet the whole of its group.
+        marks = sketches.select("c", *(f"b{i}" for i in range(SKETCH)))
+        # Few pairs of fingerprints are tried at once.
+        for turn, nearest in enumerate((False,) if within and few else (True, False)):
+            rows = cut(labelled(keyed)) if turn else rows
+            marked = rows.join(small(marks, 96), "c").select("key", "c", "n", "at", "root", "fp", *marks.columns[1:])
+            pairs = cut(marked.repartition("key").sortWithinPartitions("key").mapInArrow(_crossing(nearest, within), "a long, b long").distinct())
+            if pairs.isEmpty():  # then there are none to the second either
+                break
+            connect(pairs)
+
+    first, linked = _fingerprinted(sketches)
+    connect(first)
+    closed(linked, True)
+    closed(shared, False)
     return found if found is not None else texts.sparkSession.createDataFrame([], "c long, root long")
 
 
-def _fingerprinted(sketches: DataFrame) -> DataFrame:
-    """Pairs (a, b) of classes that SimHash links: of one fingerprint, or of two within its bits."""
+def _fingerprinted(sketches: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) that connect the classes SimHash links, of one fingerprint or of two within its bits; and (key, c, n, at): these classes under all keys of their fingerprints, so that each pair within the bits shares one."""
     least = cut(simhash.pivot_table(sketches.groupBy("fp").agg(F.min("c").alias("c"))))
-    same = sketches.select("fp", F.col("c").alias("id")).join(least, "fp").where("id <> c").select(F.col("c").alias("a"), F.col("id").alias("b"))
+    edges = cut(simhash.links(least.select("fp", "far"), BITS).distinct())
+    same = cut(sketches.select("fp", F.col("c").alias("id")).join(least, "fp").where("id <> c").select("fp", F.col("c").alias("a"), F.col("id").alias("b")))
     u, v = (least.select(F.col("fp").alias(x), F.col("c").alias(y)) for x, y in (("u", "a"), ("v", "b")))
-    near = simhash.links(least.select("fp", "far")).distinct().join(u, "u").join(v, "v").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return cut(same.unionByName(near).distinct())
+    near = edges.join(u, "u").join(v, "v").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    linked = edges.select(F.col("u").alias("fp")).unionByName(edges.select(F.col("v").alias("fp"))).unionByName(same.select("fp")).distinct()
+    rows = sketches.select("c", "n", "fp").join(small(cut(linked), 48), "fp", "left_semi")
+    keyed = simhash.keyed(rows).select("key", "c", "n", F.lit(0).alias("at"))
+    return cut(same.select("a", "b").unionByName(near).distinct()), cut(keyed)
 
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

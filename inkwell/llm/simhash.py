@@ -135,16 +135,21 @@ def join_runs(key: np.ndarray, fp: np.ndarray, far: np.ndarray, bits: int) -> tu
     return fp[joined], fp[label[joined]]
 
 
+def keyed(table: DataFrame, blocks: int | None = None) -> DataFrame:
+    """Each row of a table of fingerprints (fp, ...) under all its keys; fingerprints within 4 bits share one. blocks: chosen by the number of rows unless given."""
+    n = table.count() if blocks is None else 0
+    blocks = blocks or next(b for power, b in BLOCKS if n <= 1 << power)
+    return table.select("*", F.explode(_keys(F.col("fp"), blocks)).alias("key"))
+
+
 def links(table: DataFrame, bits: int = 4, blocks: int | None = None) -> DataFrame:
     """A pivot table (fp, far) to edges (u, v) that connect exactly the fingerprints reachable through distances of at most `bits`.
 
     blocks: chosen by the number of fingerprints unless given; the result is the same for any.
     """
-    n = table.count() if blocks is None else 0
-    blocks = blocks or next(b for power, b in BLOCKS if n <= 1 << power)
-    keyed = table.select("fp", "far", F.explode(_keys(F.col("fp"), blocks)).alias("key"))
-    hot = cut(keyed.groupBy("key").count().where(F.col("count") > TILE))
-    split = keyed.join(small(hot, 16), "key", "left").withColumn("g", F.coalesce(F.ceil(F.col("count") / TILE), F.lit(1)))
+    rows = keyed(table.select("fp", "far"), blocks)
+    hot = cut(rows.groupBy("key").count().where(F.col("count") > TILE))
+    split = rows.join(small(hot, 16), "key", "left").withColumn("g", F.coalesce(F.ceil(F.col("count") / TILE), F.lit(1)))
     mine = F.pmod(F.xxhash64("fp"), F.col("g"))
     tiled = split.withColumn("mine", mine).select("fp", "far", "key", "mine", F.explode(F.sequence(F.lit(0).cast("long"), F.col("g") - 1)).alias("other"))
     # Two runs with one number would only be compared in vain: what is found is verified.

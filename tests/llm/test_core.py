@@ -181,6 +181,29 @@ def test_stage_drops_near_copies_beyond_four_bits(spark, sf):
     assert [r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, sf).collect()] == [1]
 
 
+def test_pairs_within_four_bits_are_left_to_simhash(spark, sf, monkeypatch):
+    """What the stage keeps depends on SimHash's links: the join looks for no pair that is theirs."""
+    rng = random.Random(10)
+    base = ["".join(rng.choice("abcdefgh") for _ in range(4)) for _ in range(400)]
+    texts = [" ".join("neu" if i in at else w for i, w in enumerate(base)) for at in ((), (200,), range(20, 400, 50))]
+    fps = [simhash.folded(nearcopies.runs(t.encode())) for t in texts]
+    assert [(fps[0] ^ f).bit_count() for f in fps[1:]] == [2, 10]
+    docs = spark.createDataFrame([(i + 1, t, "en", "a", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = lambda: sorted(r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, sf).collect())
+    assert kept() == [1]
+    links = simhash.links
+    monkeypatch.setattr(simhash, "links", lambda *a, **k: links(*a, **k).limit(0))
+    assert kept() == [1, 2]
+
+
+@pytest.mark.parametrize("share", [1, 3])
+def test_simhash_loses_no_pair_within_its_bits(spark, monkeypatch, share):
+    """All pairs are SimHash's if all fingerprints are one (share 1), and part of them if there are three, far from each other."""
+    sketched = nearcopies._sketched
+    monkeypatch.setattr(nearcopies, "_sketched", lambda texts: sketched(texts).withColumn("fp", F.pmod(F.xxhash64("c"), F.lit(share)) * 0x111111111111111))
+    test_near_copies_against_brute_force(spark)
+
+
 def test_decontamination_edges(spark):
     items = spark.createDataFrame([(1, "Alpha beta GAMMA delta"), (2, None), (3, "?!"), (4, " ".join(f"w{i}" for i in range(14))), (4, "nur zwei"), (5, "é")], "item_id long, text string")
     body = " ".join(f"W{i}" for i in range(14))
