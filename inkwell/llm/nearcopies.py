@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from inkwell.llm import simhash
 from inkwell.llm.common import cut, small
 from inkwell.llm.components import components
+from inkwell.staging import scratch
 
 #: Words of a run; the fewest classes in the sample, and its frequent runs that are kept, which bound what is broadcast; pairs made at a time.
 RUN, SAMPLE, FREQUENT, STEP = 5, 4096, 1 << 18, 1 << 16
@@ -38,6 +39,8 @@ RUN, SAMPLE, FREQUENT, STEP = 5, 4096, 1 << 18, 1 << 16
 HUBS, LEFT = 8, 4
 #: One class in so many is in the sample at least; longs of a sketch.
 SHARE, SKETCH = 16, 8
+#: Links up to which one task follows them all; more go through rounds over all tasks.
+FEW = 1 << 18
 #: Bits in which fingerprints that SimHash links differ at most: pairs within are its own, all others the prefix join's.
 BITS = 4
 ODD = np.array([pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) for k in range(RUN)], np.uint64)
@@ -236,8 +239,38 @@ def _verified(pairs: DataFrame, texts: DataFrame, sketches: DataFrame) -> DataFr
     return cut(cut(likely).join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long"))
 
 
+def _rooted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All edges (u, v) to (u, root): the least node that u reaches, for every node but the roots."""
+    ends = [np.stack([x.to_numpy() for x in b.columns], axis=1) for b in batches]
+    nodes, at = np.unique(np.concatenate(ends), return_inverse=True) if ends else (np.empty(0, np.int64), np.empty(0, np.int64))
+    root = list(range(len(nodes)))  # nodes are sorted, so the least index is the least node
+
+    def top(x: int) -> int:
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    for u, v in at.reshape(-1, 2).tolist():
+        a, b = top(u), top(v)
+        root[max(a, b)] = min(a, b)
+    least = np.array([top(x) for x in range(len(nodes))], np.int64)
+    moved = np.flatnonzero(least != np.arange(len(nodes)))
+    yield pa.RecordBatch.from_arrays([pa.array(nodes[moved]), pa.array(nodes[least[moved]])], ["u", "root"])
+
+
+def _connected(edges: DataFrame, n: int) -> DataFrame:
+    """components() of n edges, in a single small task if they are few."""
+    return edges.coalesce(1).mapInArrow(_rooted, "u long, root long") if n <= FEW else components(edges)
+
+
 def joined(texts: DataFrame) -> DataFrame:
-    """texts (c, text), c the text_class, to (c, root): the least class that c reaches through pairs alike, for all c but the roots."""
+    """texts (c, text), c the text_class, to (c, root): the least class that c reaches through pairs alike, for all c but the roots. Nothing else that it stores remains."""
+    with scratch(texts.sparkSession) as keep:
+        return keep(_joined(texts))
+
+
+def _joined(texts: DataFrame) -> DataFrame:
+    spark = texts.sparkSession
     shared = _shared(texts)
     wanted = shared.select("c").distinct()
     # Only classes of several rows are shuffled to become one row each.
@@ -247,29 +280,32 @@ def joined(texts: DataFrame) -> DataFrame:
     sketches = _sketched(own)
     found = None
 
-    def labelled(keyed: DataFrame) -> DataFrame:
-        """keyed with each class's root and fingerprint, where a key still has several roots."""
+    def labelled(keyed: DataFrame) -> tuple[DataFrame, int]:
+        """keyed with each class's root and fingerprint, where a key still has several roots; and how many pairs under a key have different ones."""
         names = sketches.select("c", "fp")
         names = names.withColumn("root", F.col("c")) if found is None else names.join(small(found, 64), "c", "left").withColumn("root", F.coalesce("root", "c"))
         rows = keyed.join(small(cut(names), 72), "c")
-        open_ = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
-        return rows.join(small(open_, 48), "key", "left_semi").select("key", "c", "n", "at", "root", "fp")
+        each = rows.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key")
+        open_ = cut(each.agg(F.count("*").alias("roots"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("inside")).where("roots > 1"))
+        left = open_.agg(F.sum((F.col("n") * F.col("n") - F.col("inside")) / 2)).first()[0] or 0
+        return cut(rows.join(small(open_.select("key"), 48), "key", "left_semi").select("key", "c", "n", "at", "root", "fp")), left
 
     def connect(pairs: DataFrame) -> None:
         nonlocal found
-        new = _verified(pairs, own, sketches)
-        if new.count():
-            edges = new.select(F.col("a").alias("u"), F.col("b").alias("v"))
-            before = edges.limit(0) if found is None else found.select(F.col("c").alias("u"), F.col("root").alias("v"))
-            found = components(edges.unionByName(before)).select(F.col("u").alias("c"), "root")
+        with scratch(spark) as keep:
+            edges = _verified(pairs, own, sketches).select(F.col("a").alias("u"), F.col("b").alias("v"))
+            n = edges.count()
+            if not n:
+                return
+            if found is not None:
+                edges, n = edges.unionByName(found.select(F.col("c").alias("u"), F.col("root").alias("v"))), n + found.count()
+            found = keep(_connected(edges, n).select(F.col("u").alias("c"), "root"))
 
     def closed(keyed: DataFrame, within: bool) -> None:
         """Connect all classes alike that share a key of keyed (key, c, n, at) and whose fingerprints differ in BITS at most, or in more."""
         turn, rows_in_all, last = 0, keyed.count(), float("inf")
         while True:
-            rows = cut(labelled(keyed))
-            each = rows.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("inside"))
-            left = each.agg(F.sum((F.col("n") * F.col("n") - F.col("inside")) / 2)).first()[0] or 0
+            rows, left = labelled(keyed)
             few = left <= LEFT * rows_in_all
             if few or 10 * left > 9 * last:
                 break
@@ -283,7 +319,9 @@ def joined(texts: DataFrame) -> DataFrame:
         marks = sketches.select("c", *(f"b{i}" for i in range(SKETCH)))
         # Few pairs of fingerprints are tried at once.
         for turn, nearest in enumerate((False,) if within and few else (True, False)):
-            rows = cut(labelled(keyed)) if turn else rows
+            rows, left = labelled(keyed) if turn else (rows, left)
+            if not left:
+                break
             marked = rows.join(small(marks, 96), "c").select("key", "c", "n", "at", "root", "fp", *marks.columns[1:])
             pairs = cut(marked.repartition("key").sortWithinPartitions("key").mapInArrow(_crossing(nearest, within), "a long, b long").distinct())
             if pairs.isEmpty():  # then there are none to the second either
@@ -294,7 +332,7 @@ def joined(texts: DataFrame) -> DataFrame:
     connect(first)
     closed(linked, True)
     closed(shared, False)
-    return found if found is not None else texts.sparkSession.createDataFrame([], "c long, root long")
+    return found if found is not None else spark.createDataFrame([], "c long, root long")
 
 
 def _fingerprinted(sketches: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -310,19 +348,25 @@ def _fingerprinted(sketches: DataFrame) -> tuple[DataFrame, DataFrame]:
     return cut(same.select("a", "b").unionByName(near).distinct()), cut(keyed)
 
 
-def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of docs for every component of texts alike: that with the smallest id, a null id last; of equal ids the least class of texts, and of its rows the smallest by the columns that have an order.
-
-    Rows are told apart by their text and not by their id. Texts without words, and null ones, are one component.
-    """
-    class_ = text_class(F.col(text_col))
+def _judged(docs: DataFrame, class_: Column, id_col: str, text_col: str) -> DataFrame:
+    """(id, c, rows, stays) of the components of several members or rows: whether of this id and class one row stays."""
     found = joined(docs.select(class_.alias("c"), F.col(text_col).alias("text")))
     # Ids and classes alone are grouped; of the rows themselves only those move that share both.
     light = docs.select(F.col(id_col).alias("id"), class_.alias("c")).groupBy("id", "c").agg(F.count("*").alias("rows"))
     light = light.join(small(found, 64), "c", "left").select("id", "c", "rows", F.coalesce("root", "c").alias("root"))
     place = F.struct(F.col("id").isNull().alias("none"), "id", "c")
     judged = light.groupBy("root").agg(F.min(place).alias("least"), F.count("*").alias("members"), F.max("rows").alias("most")).where("members > 1 OR most > 1")
-    judged = cut(light.join(small(cut(judged), 96), "root").select("id", "c", "rows", (F.col("id").eqNullSafe(F.col("least.id")) & (F.col("c") == F.col("least.c"))).alias("stays")))
+    return light.join(small(cut(judged), 96), "root").select("id", "c", "rows", (F.col("id").eqNullSafe(F.col("least.id")) & (F.col("c") == F.col("least.c"))).alias("stays"))
+
+
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of docs for every component of texts alike: that with the smallest id, a null id last; of equal ids the least class of texts, and of its rows the smallest by the columns that have an order.
+
+    Rows are told apart by their text and not by their id. Texts without words, and null ones, are one component.
+    """
+    class_ = text_class(F.col(text_col))
+    with scratch(docs.sparkSession) as keep:
+        judged = keep(_judged(docs, class_, id_col, text_col))
     named = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), class_.alias("c"))
 
     def met(listed: DataFrame, how: str) -> DataFrame:

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: The folders written in each open scratch(), the innermost last.
 _scopes: list[list[str]] = []
+#: Spark removes what a query has shuffled as soon as it ends; else it stays until the driver happens to collect its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -29,12 +31,23 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """df written as Parquet in the shared folder, and read again: its lineage ends there, and later scans take the columns they need."""
-    path = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
-    if _scopes:
+    """df written as Parquet in the shared folder, and read again: its lineage ends there, and later scans take the columns they need.
+
+    Inside scratch() the shuffle files of the write go when it has ended.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/stored-{uuid.uuid4().hex}"
+    if not _scopes:
+        df.write.parquet(path)
+    else:
         _scopes[-1].append(path)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+        before = spark.conf.get(CLEANUP, None)
+        spark.conf.set(CLEANUP, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 @contextmanager

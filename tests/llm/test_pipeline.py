@@ -5,6 +5,7 @@ import math
 import random
 import re
 import sys
+import time
 from pathlib import Path
 
 import pytest
@@ -16,7 +17,8 @@ from test_core import five_word_runs, plain_contamination
 
 import corpus_pipeline as pipeline
 from inkwell import staging
-from inkwell.llm import langid, pii
+from inkwell.llm import langid, nearcopies, pii
+from inkwell.llm.components import components
 
 SF, SCHEMA = "/root/testdata/sf0.001", "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -144,3 +146,36 @@ def test_run_leaves_only_its_result(spark, folder, tmp_path, monkeypatch):
     monkeypatch.setattr(staging, "shared_folder", lambda s: tmp_path.as_uri())
     out = pipeline.run(spark, folder)
     assert len(list(tmp_path.iterdir())) == 1 and out.count() > 0
+
+
+def test_near_duplicates_keep_one_table(spark, folder, tmp_path, monkeypatch):
+    monkeypatch.setattr(staging, "shared_folder", lambda s: tmp_path.as_uri())
+    out = pipeline.near_duplicates(spark, spark.read.parquet(f"{folder}/documents.parquet"), folder)
+    assert len(list(tmp_path.iterdir())) == 1 and out.count() > 0
+
+
+def test_what_a_scratch_table_shuffled_goes_with_its_write(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(staging, "shared_folder", lambda s: tmp_path.as_uri())
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: {f for f in re.findall(r"shuffle_\d+_\d+_\d+\.data", files.getAllFiles().mkString(" "))}
+    before, name = shuffled(), staging.CLEANUP
+    held = spark.conf.get(name, None)
+    with staging.scratch(spark) as keep:
+        table = keep(spark.range(1000).repartition(7, "id").groupBy((F.col("id") % 10).alias("k")).count())
+        end = time.time() + 20
+        while shuffled() - before and time.time() < end:
+            time.sleep(0.2)
+        assert not shuffled() - before and table.count() == 10
+    assert spark.conf.get(name, None) == held
+
+
+def test_few_links_are_followed_in_one_task(spark, monkeypatch):
+    rng = random.Random(5)
+    edges = [(a, b) for a, b in ((rng.randrange(-(2**63), 2**63) if rng.random() < 0.3 else rng.randrange(400), rng.randrange(400)) for _ in range(300)) if a != b]
+    df = spark.createDataFrame(edges, "u long, v long")
+    want = sorted(map(tuple, components(df).collect()))
+    one = nearcopies._connected(df, len(edges))
+    assert one.rdd.getNumPartitions() == 1 and sorted(map(tuple, one.collect())) == want
+    monkeypatch.setattr(nearcopies, "FEW", len(edges) - 1)
+    assert sorted(map(tuple, nearcopies._connected(df, len(edges)).collect())) == want
+    assert nearcopies._connected(df.limit(0), 0).count() == 0
